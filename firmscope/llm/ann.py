@@ -152,7 +152,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
 
     def closest(c: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
         if not len(c) or not len(qs):
-            return pd.DataFrame({"v": [], "near": []})
+            return pd.DataFrame({"v": [], "near": []}, dtype=object)
         a, b = np.array(qs["v"].tolist(), float).reshape(-1, d), np.array(c["v"].tolist(), float).reshape(-1, d)
         rough = unit(qs["v"]) @ unit(c["v"]).T
         ids = c["ids"].tolist()
