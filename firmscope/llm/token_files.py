@@ -1,11 +1,12 @@
 """Flat files of token ids: unsigned integers without header, and 64-bit offsets of the documents.
 
-A folder holds, for each part p: part-p.bin (ids, little-endian), part-p.ids (int64, document ids in ascending order) and
+A folder holds format.json (dtype: 16 bits where all ids fit, else 32) and, for each part p: part-p.bin (ids, little-endian), part-p.ids (int64, document ids in ascending order) and
 part-p.off (int64, one more than documents: where each document starts, counted over all parts, and the end).
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -44,14 +45,16 @@ def _mapped(uri: str, dtype: str) -> np.ndarray:
         return np.frombuffer(f.read(), dtype)
 
 
-def write(docs: DataFrame, folder: str, vocab: str, end_id: int = 1, parts: int | None = None, dtype: str = "<u4", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write(docs: DataFrame, folder: str, vocab: str, end_id: int = 1, parts: int | None = None, dtype: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes the files and returns the parts: part, n_docs, n_tokens, base (ids of all parts before).
 
     Documents go to parts by ranges of their ids and to files in ascending order; of rows with the same id, in the order
     of their texts' hashes. A null text is empty; every document ends with end_id. Rows with a null id can't be placed
-    and are refused. No documents: no files. dtype "<u2" holds vocabularies of up to 65,536 ids.
+    and are refused. No documents: no parts. dtype is "<u2" for vocabularies of up to 65,536 ids and "<u4" for larger ones.
     """
     spark = docs.sparkSession
+    dtype = dtype or ("<u2" if max(end_id, *encoder(vocab).whole.get_vocab().values()) < 1 << 16 else "<u4")
+    _put(f"{folder}/format.json", [json.dumps({"dtype": dtype}).encode()])
     n = parts or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     d = docs.select(F.when(F.col(id_col).isNull(), F.raise_error(F.lit("a document has no id"))).otherwise(F.col(id_col)).cast("long").alias("id"), F.col(text_col).alias("t"))
     sortable = d.repartitionByRange(n, "id").withColumn("h", F.xxhash64(F.coalesce("t", F.lit("")))).sortWithinPartitions("id", "h").select("id", "t", F.spark_partition_id().alias("p"))
@@ -105,8 +108,9 @@ def write(docs: DataFrame, folder: str, vocab: str, end_id: int = 1, parts: int
     return checkpointed(bases.repartition(n, "part").mapInArrow(offsets, "part int, n_docs long, n_tokens long, base long"))
 
 
-def read(parts: DataFrame, folder: str, dtype: str = "<u4") -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, read from the files of these parts."""
+def read(parts: DataFrame, folder: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 (of the ids as 32-bit integers) of every document, read from these parts' files."""
+    dtype = json.loads(_mapped(f"{folder}/format.json", "u1").tobytes())["dtype"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

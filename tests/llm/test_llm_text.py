@@ -259,7 +259,7 @@ def test_token_files_odd(spark, tmp_path):
     for dtype in ("<u4", "<u2"):
         at = f"file://{tmp_path}/{dtype[1:]}"
         parts = token_files.write(odd(spark, rows), at, vocabulary(), dtype=dtype)
-        got = sorted(tuple(r) for r in token_files.read(parts, at, dtype).collect())
+        got = sorted(tuple(r) for r in token_files.read(parts, at).collect())
         assert [g[0] for g in got] == sorted(d for d, _ in rows)
         assert [g[1] for g in got] == [sum(x[2] for x in got[:i]) for i in range(len(got))] and got[0][2] == 1
     assert token_files.round_trip(odd(spark, []), vocabulary()).collect() == []
