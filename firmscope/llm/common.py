@@ -73,14 +73,14 @@ def map_texts(
     return df.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, schema)
 
 
-def bucketed_rank(df: DataFrame, key: str, order: list[str], per_bucket: int = 50_000) -> DataFrame:
+def bucketed_rank(df: DataFrame, key: str, order: list[str], per_bucket: int = 1_000) -> DataFrame:
     """df with `rank` (long, from 0): the place of each row within its key, without all rows of a key in one task.
 
     Rows of a key are dealt to buckets of about per_bucket rows by a hash of the order columns; the place is the sum
-    of the buckets before plus the place in the bucket. There are as many counts as keys and buckets.
+    of the buckets before plus the place in the bucket. The keys must be few, by their kind: their counts are broadcast.
     """
     sizes = df.groupBy(key).agg(F.count("*").alias("__n"))
-    dealt = df.join(sizes, key).withColumn("__b", F.pmod(F.xxhash64(*order), F.ceil(F.col("__n") / per_bucket).cast("long"))).drop("__n")
+    dealt = df.join(F.broadcast(sizes), key).withColumn("__b", F.pmod(F.xxhash64(*order), F.ceil(F.col("__n") / per_bucket).cast("long"))).drop("__n")
     from pyspark.sql import Window as W
 
     counts = dealt.groupBy(key, "__b").agg(F.count("*").alias("__n"))
