@@ -7,22 +7,23 @@ import os
 import re
 
 import numpy as np
-import regex
 
-#: The splitting pattern and the normalisers that make a chunk's ids independent of its neighbours.
+#: The splitting pattern and the normalisers that make a word's ids independent of its neighbours.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+#: The same pattern for lower-cased Latin-1, which normalisation leaves alone.
+_LETTERS, _DIGITS, _BLANKS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
+_words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_BLANKS}{_LETTERS}{_DIGITS}]+").findall
 
-_plain = re.compile("[!-~¡-ÿ]+").fullmatch
 _encoders: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Ids of texts. Equal chunks between blanks have equal ids when the file splits texts into words there, so each
-    chunk and each word goes through the library once and is then taken from a table of at most `most` entries
-    (emptied when full). Any other file, and any chunk outside Latin-1, is encoded by the library as it stands."""
+    """Ids of texts. Where the file splits texts into words whose ids don't depend on other words, each word goes through
+    the library once and is then taken from a table of at most `most` words (emptied when full, but for the words at
+    hand). Any other file, and any text beyond Latin-1 or with a special token in it, is encoded by the library whole."""
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -39,53 +40,41 @@ class Encoder:
             vocab = self.whole.get_vocab()
             self.last = np.zeros(max(vocab.values()) + 1, bool)
             self.last[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-            self.words = regex.compile(WORD_PATTERN).findall
             self.special = [x["content"] for x in spec.get("added_tokens", [])]
-            self.chunks: dict[str, bytes] = {"": b""}
-            self.pieces: dict[str, bytes] = {}
+            self.table: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: set[str]) -> None:
-        """Fill the table for chunks that it lacks."""
-        plan: dict[str, list[str]] = {}
-        for w in new:
-            if _plain(w) and not any(x in w for x in self.special):
-                low = w.lower()
-                if low.isalpha():
-                    plan[w] = [low]
-                elif low[-1] in ".," and low[:-1].isalpha():
-                    plan[w] = [low[:-1], low[-1]]
-                else:
-                    plan[w] = self.words(low)
-        odd = [w for w in new if w not in plan]
-        self.chunks.update(zip(odd, self._raw(odd), strict=True))
-        want = list(set().union(*plan.values()) - self.pieces.keys())
+    def _learn(self, words: set[str]) -> None:
+        """Fill the table for words that it lacks; the last id of a word marks its end."""
+        want = list(words)
         ids = np.array(self.bare.encode_batch_fast([" ".join(want)], add_special_tokens=False)[0].ids, "<u4")
-        ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist() if want else []
+        ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
         raw, at = ids.tobytes(), 0
         for w, end in zip(want, ends, strict=True):
-            self.pieces[w] = raw[at:end]
+            self.table[w] = raw[at:end]
             at = end
-        get = self.pieces.__getitem__
-        for w, parts in plan.items():
-            self.chunks[w] = get(parts[0]) if len(parts) == 1 else b"".join(map(get, parts))
+
+    def _plain(self, text: str) -> bool:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return not any(x in text for x in self.special)
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; a null text has those of the empty one: none."""
-        if not self.by_word:
-            return self._raw([x or "" for x in texts])
-        split = [(x.lower() if x.isascii() else x).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for x in (x or "" for x in texts)]
-        if new := set().union(*split) - self.chunks.keys():
-            if len(self.chunks) + len(new) > self.most:
-                self.chunks = {"": b""}
-                new = set().union(*split) - {""}
-            if len(self.pieces) > self.most:
-                self.pieces = {}
-            self._learn(new)
-        get = self.chunks.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        texts = [x or "" for x in texts]
+        plain = [self.by_word and self._plain(x) for x in texts]
+        rest = iter(self._raw([x for x, p in zip(texts, plain, strict=True) if not p]))
+        split = [_words(x.lower()) if p else () for x, p in zip(texts, plain, strict=True)]
+        if split and (new := set().union(*split)) and (lack := new - self.table.keys()):
+            if len(self.table) + len(lack) > self.most:
+                self.table = {w: b for w in new if (b := self.table.get(w)) is not None}
+            self._learn(lack)
+        get = self.table.__getitem__ if self.by_word else None
+        return [b"".join(map(get, s)) if p else next(rest) for s, p in zip(split, plain, strict=True)]
 
 
 def encoder(path: str) -> Encoder:
