@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from firmscope.llm.common import checkpointed
 
-SAMPLE, BRANCH, LEAF, RECALL, BLOCK = 20_000, 8, 64, 0.985, 4_096
+SAMPLE, BRANCH, LEAF, RECALL, BLOCK = 20_000, 8, 256, 0.985, 4_096
 
 
 class Tree:
