@@ -1 +1 @@
-"""plans"""
+"""Queries and their registry."""
