@@ -7,13 +7,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmscope.llm.common import checkpointed
 
-SAMPLE, BRANCH, LEAF, RECALL, BLOCK = 20_000, 8, 256, 0.985, 4_096
+SAMPLE, BRANCH, LEAF, RECALL = 20_000, 8, 256, 0.97
+#: Vectors of a shard, and queries that meet it at once.
+SHARD, TOGETHER = 8_192, 20_000
 
 
 class Tree:
@@ -92,6 +93,19 @@ def calibrate(tree: Tree, x: np.ndarray, recall: float, k: int, queries: int = 2
     return min(n, tree.leaves)
 
 
+def shards_of(counts: dict[int, int], most: int = SHARD) -> dict[int, tuple[int, int]]:
+    """(first shard, shards) of each leaf: a large leaf is dealt to several, neighbouring small ones share one."""
+    out, shard, room = {}, 0, most
+    for leaf in sorted(counts):
+        n = counts[leaf]
+        if n > room and room < most:
+            shard, room = shard + 1, most
+        parts = -(-n // most)
+        out[leaf] = (shard, parts)
+        shard, room = (shard, room - n) if parts == 1 else (shard + parts, most)
+    return out
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (cosine in double precision): the k nearest found of each row of queries.
 
@@ -100,8 +114,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
     the commonest. Other columns are not read. A query with fewer than k candidates gets all of them; no rows, no result.
 
     The tree is fitted on about `sample` vectors chosen by a hash of their ids, and every vector is put in a leaf.
-    Equal vectors are searched once: only the k + 1 smallest ids of each can be among a query's nearest. Large leaves
-    are dealt in blocks. Visits per query are calibrated on the sample for the part `recall` of true neighbours.
+    Equal vectors are searched once: only the k + 1 smallest ids of each can be among a query's nearest. Leaves are
+    gathered in shards of about SHARD vectors, which meet TOGETHER queries at a time. Visits per query are calibrated on the sample for the part `recall` of true neighbours.
     """
 
     def usable(df: DataFrame) -> DataFrame:
@@ -138,40 +152,52 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
         for b in batches:
             yield b.assign(leaf=held.value.place(unit(b["v"])))
 
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            at = [held.value.visit(q, visits) for q in unit(b["v"])]
-            yield b.assign(leaf=at).explode("leaf").astype({"leaf": "int64"})
-
     placed = checkpointed(distinct.mapInPandas(place, "v array<double>, ids array<long>, key long, leaf long"))
-    sizes = placed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))  # a row a leaf at most
-    cand = placed.join(F.broadcast(sizes), "leaf").withColumn("block", F.pmod("key", "blocks")).select("leaf", "block", "v", "ids")
+    counts = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # a row a leaf at most
+    shards = shards_of(counts)
+    table = spark.createDataFrame([(leaf, first, n) for leaf, (first, n) in shards.items()], "leaf long, first long, n long")
     asked = checkpointed(usable(queries).filter(F.size("v") == d))
     q = asked.select("v").distinct().withColumn("key", F.xxhash64("v"))
-    q = q.mapInPandas(visit, "v array<double>, key long, leaf long").join(F.broadcast(sizes), "leaf").select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "v")
+    together = max(1, -(-q.count() // TOGETHER))
+    cand = placed.join(F.broadcast(table), "leaf").select((F.col("first") + F.pmod("key", "n")).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(together - 1))).alias("part"), "leaf", "v", "ids")
+
+    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for v, key, u in zip(b["v"], b["key"], unit(b["v"]), strict=True):
+                mine: dict[int, list[int]] = {}
+                for leaf in held.value.visit(u, visits):
+                    first, n = shards.get(leaf, (0, 0))
+                    for s in range(first, first + n):
+                        mine.setdefault(s, []).append(leaf)
+                out += [(s, key % together, leaves, v) for s, leaves in mine.items()]
+            yield pd.DataFrame(out, columns=["shard", "part", "leaves", "v"])
+
+    q = q.repartition("key").mapInPandas(visit, "shard long, part int, leaves array<long>, v array<double>")
 
     def closest(c: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
         if not len(c) or not len(qs):
             return pd.DataFrame({"v": [], "near": []}, dtype=object)
-        a, b = np.array(qs["v"].tolist(), float).reshape(-1, d), np.array(c["v"].tolist(), float).reshape(-1, d)
-        rough = unit(qs["v"]) @ unit(c["v"]).T
-        ids = c["ids"].tolist()
+        b, uc, ids = np.array(c["v"].tolist(), float).reshape(-1, d), unit(c["v"]), c["ids"].tolist()
         first = np.array([i[0] for i in ids])
-        near = []
-        for i, row in enumerate(rough):
-            n = min(k + 1, len(row))
-            edge = np.partition(row, len(row) - n)[len(row) - n]
-            own = np.flatnonzero(row >= edge - 1e-9)
-            exact = b[own] @ a[i] / (np.linalg.norm(b[own], axis=1) * np.linalg.norm(a[i]))
-            order = np.lexsort((first[own], -exact))
-            near.append([{"score": float(exact[j]), "id": int(v)} for j in order for v in ids[own[j]]])
-        near = [sorted(x, key=lambda y: (-y["score"], y["id"]))[: k + 1] for x in near]
+        names, code = np.unique(c["leaf"].to_numpy(), return_inverse=True)
+        norm, near = np.linalg.norm(b, axis=1), []
+        for at in range(0, len(qs), 256):
+            some = qs.iloc[at : at + 256]
+            a = np.array(some["v"].tolist(), float).reshape(-1, d)
+            visited = np.array([np.isin(names, x) for x in some["leaves"]])
+            rough = np.where(visited[:, code], unit(some["v"]) @ uc.T, -2.0)
+            n = min(k + 1, len(b))
+            edges = np.partition(rough, len(b) - n, axis=1)[:, len(b) - n]
+            for i, row in enumerate(rough):
+                own = np.flatnonzero(row >= max(edges[i] - 1e-9, -1.5))
+                exact = b[own] @ a[i] / (norm[own] * np.linalg.norm(a[i]))
+                best = sorted((-float(exact[j]), int(v)) for j in np.lexsort((first[own], -exact))[: k + 1] for v in ids[own[j]])
+                near.append([{"s": x, "id": v} for x, v in best[: k + 1]])
         return pd.DataFrame({"v": qs["v"].tolist(), "near": near})
 
-    got = cand.groupBy("leaf", "block").cogroup(q.groupBy("leaf", "block")).applyInPandas(closest, "v array<double>, near array<struct<score:double,id:long>>")
-    flat = got.select("v", F.explode("near").alias("n")).select("v", "n.score", "n.id")
-    top = flat.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy(F.desc("score"), "id"))).filter(F.col("r") <= k + 1)
-    ids = top.groupBy("v").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "id"))).alias("near"))
+    got = cand.groupBy("shard", "part").cogroup(q.groupBy("shard", "part")).applyInPandas(closest, "v array<double>, near array<struct<s:double,id:long>>")
+    ids = got.groupBy("v").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near"))  # k + 1 from each shard
     own = asked.join(ids, "v").select(F.col("id").alias("q"), F.slice(F.filter("near", lambda x: x["id"] != F.col("id")), 1, k).alias("near"))
     return own.select("q", F.posexplode("near")).select(F.col("q").cast("long").alias("query_id"), (F.col("pos") + 1).cast("int").alias("rank"), F.col("col.id").cast("long").alias("vec_id"), (-F.col("col.s")).alias("score"))
 
