@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firmscope.llm.common import map_texts
+from firmscope.llm.common import checkpointed, map_texts
 from firmscope.llm.encode import encoder
 
 
@@ -23,17 +23,17 @@ def token_lengths(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col:
     return map_texts(docs, [id_col], text_col, make, "n_tokens long")
 
 
-def length_histogram(lengths: DataFrame, length_col: str = "n_tokens", block: int = 1024) -> DataFrame:
+def length_histogram(lengths: DataFrame, length_col: str = "n_tokens", block: int = 128) -> DataFrame:
     """One row for each length that occurs, with suffix sums over the lengths from it on.
 
     Columns: length, n_docs, n_tokens, docs_ge, tokens_ge (documents of this length or more, and their tokens), docs_all,
     tokens_all, truncated_total (tokens left if every document is cut to `length`), share_le (part of the documents
     that have this length or less). An empty table gives no rows; null lengths count as 0.
 
-    The suffix sums take two levels, blocks of `block` lengths and lengths in a block, so no task gets all lengths.
+    The suffix sums take two levels, blocks of `block` lengths and lengths in a block, so no task gets all lengths. The counts are kept in the checkpoint folder, as both levels read them.
     """
     h = lengths.groupBy(F.coalesce(F.col(length_col), F.lit(0)).cast("long").alias("length")).agg(F.count("*").alias("n_docs"))
-    h = h.select("length", "n_docs", (F.col("length") * F.col("n_docs")).alias("n_tokens"), F.floor(F.col("length") / block).alias("__b"))
+    h = checkpointed(h).select("length", "n_docs", (F.col("length") * F.col("n_docs")).alias("n_tokens"), F.floor(F.col("length") / block).alias("__b"))
     blocks = h.groupBy("__b").agg(F.sum("n_docs").alias("__d"), F.sum("n_tokens").alias("__t"))
     down, every = Window.orderBy(F.col("__b").desc()), Window.partitionBy()
     blocks = blocks.select(
