@@ -21,6 +21,8 @@ from firmscope.llm.common import bucketed_rank, checkpointed, map_texts
 from firmscope.llm.encode import encoder
 
 WINDOW, SLACK = 4096, 4
+#: Documents with pieces to cut (id and hash) that are broadcast; more of them are joined by a shuffle.
+BROADCAST_DOCS = 20_000
 
 
 def fill(counts: dict[int, int], capacity: int) -> tuple[int, dict[int, int]]:
@@ -190,7 +192,10 @@ def pack(docs: DataFrame, vocab: str, window: int = WINDOW, end_id: int = 2, sla
                 yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(out[0], pa.int64()))] + [pa.array(c, pa.int64()) for c in out[1:7]], names=["id", "start", "length", "crc", "doc_tokens", "sequence_id", "offset"])
 
     loose = placed.filter("laid >= 0").select("id", "th", "start", "length", "doc_tokens", "laid")
-    texts = d.join(loose.select(F.col("id").alias("i"), F.col("th").alias("h")).distinct(), F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("h")), "left_semi").dropDuplicates(["id", "th"]).withColumnsRenamed({"id": "i", "th": "h"})
+    keys = checkpointed(loose.select(F.col("id").alias("i"), F.col("th").alias("h")).distinct())
+    if keys.count() <= BROADCAST_DOCS:
+        keys = F.broadcast(keys)
+    texts = d.join(keys, F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("h")), "left_semi").dropDuplicates(["id", "th"]).withColumnsRenamed({"id": "i", "th": "h"})
     again = loose.join(texts, F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("h"))).select("id", "start", "length", "doc_tokens", "laid", "t")
     more = again.mapInArrow(split, f"id {id_kind}, start long, length long, crc long, doc_tokens long, sequence_id long, offset long").select(columns)
     return done.unionByName(more)
