@@ -21,6 +21,10 @@ from firmscope.llm.common import checkpointed, shared_folder
 from firmscope.llm.encode import encoder
 
 
+#: Stands for a null id in the files.
+NO_ID = -(1 << 63)
+
+
 def _open(uri: str):
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
@@ -32,7 +36,12 @@ def _put(uri: str, parts: list[bytes] | Iterator[bytes]) -> None:
     with fs.open_output_stream(side := f"{path}.{uuid.uuid4().hex}") as f:
         for b in parts:
             f.write(b)
-    fs.move(side, path)
+    try:
+        fs.move(side, path)
+    except OSError:  # stores that don't replace files: an earlier run of the task has left the same content
+        if fs.get_file_info(path).type == pafs.FileType.NotFound:
+            raise
+        fs.delete_file(side)
 
 
 def _mapped(uri: str, dtype: str) -> np.ndarray:
@@ -49,14 +58,14 @@ def write(docs: DataFrame, folder: str, vocab: str, end_id: int = 1, parts: int
     """Writes the files and returns the parts: part, n_docs, n_tokens, base (ids of all parts before).
 
     Documents go to parts by ranges of their ids and to files in ascending order; of rows with the same id, in the order
-    of their texts' hashes. A null text is empty; every document ends with end_id. Rows with a null id can't be placed
-    and are refused. No documents: no parts. dtype is "<u2" for vocabularies of up to 65,536 ids and "<u4" for larger ones.
+    of their texts' hashes. A null text is empty; every document ends with end_id. Rows with a null id come first and have
+    NO_ID in the file. No documents: no parts. dtype is "<u2" for vocabularies of up to 65,536 ids and "<u4" for larger ones.
     """
     spark = docs.sparkSession
     dtype = dtype or ("<u2" if max(end_id, *encoder(vocab).whole.get_vocab().values()) < 1 << 16 else "<u4")
     _put(f"{folder}/format.json", [json.dumps({"dtype": dtype}).encode()])
     n = parts or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    d = docs.select(F.when(F.col(id_col).isNull(), F.raise_error(F.lit("a document has no id"))).otherwise(F.col(id_col)).cast("long").alias("id"), F.col(text_col).alias("t"))
+    d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("t"))
     sortable = d.repartitionByRange(n, "id").withColumn("h", F.xxhash64(F.coalesce("t", F.lit("")))).sortWithinPartitions("id", "h").select("id", "t", F.spark_partition_id().alias("p"))
     mark = np.array([end_id], "<u4").tobytes()
 
@@ -123,7 +132,8 @@ def read(parts: DataFrame, folder: str) -> DataFrame:
                     s = slice(k, k + 10_000)
                     yield pa.RecordBatch.from_arrays([pa.array(ids[s]), pa.array(off[:-1][s]), pa.array(np.diff(off)[s]), pa.array(crc[s], pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return parts.select("part").repartition("part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    found = parts.select("part").repartition("part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return found.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
 
 
 def round_trip(docs: DataFrame, vocab: str, end_id: int = 1) -> DataFrame:
