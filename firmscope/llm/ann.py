@@ -14,7 +14,7 @@ from firmscope.llm.common import checkpointed
 
 SAMPLE, BRANCH, LEAF, RECALL = 20_000, 8, 256, 0.97
 #: Vectors of a shard, and queries that meet it at once.
-SHARD, TOGETHER = 8_192, 20_000
+SHARD, TOGETHER = 2_048, 20_000
 
 
 class Tree:
