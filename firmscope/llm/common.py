@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,9 +81,7 @@ def bucketed_rank(df: DataFrame, key: str, order: list[str], per_bucket: int = 1
     """
     sizes = df.groupBy(key).agg(F.count("*").alias("__n"))
     dealt = df.join(F.broadcast(sizes), key).withColumn("__b", F.pmod(F.xxhash64(*order), F.ceil(F.col("__n") / per_bucket).cast("long"))).drop("__n")
-    from pyspark.sql import Window as W
-
     counts = dealt.groupBy(key, "__b").agg(F.count("*").alias("__n"))
-    before = counts.select(key, "__b", (F.sum("__n").over(W.partitionBy(key).orderBy("__b")) - F.col("__n")).alias("__before"))
-    local = dealt.withColumn("__r", F.row_number().over(W.partitionBy(key, "__b").orderBy(*order)) - 1)
+    before = counts.select(key, "__b", (F.sum("__n").over(Window.partitionBy(key).orderBy("__b")) - F.col("__n")).alias("__before"))
+    local = dealt.withColumn("__r", F.row_number().over(Window.partitionBy(key, "__b").orderBy(*order)) - 1)
     return local.join(before, [key, "__b"]).withColumn("rank", F.col("__before") + F.col("__r")).drop("__b", "__r", "__before")
