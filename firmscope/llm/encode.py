@@ -18,12 +18,21 @@ _words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_BLAN
 _encoders: dict[str, Encoder] = {}
 
 
+class Words(dict):
+    """Ids of words; those that have come up only once are in `once`, for the texts at hand."""
+
+    once: dict[str, bytes]
+
+    def __missing__(self, word: str) -> bytes:
+        return self.once[word]
+
+
 class Encoder:
     """Ids of texts. Where the file splits texts into words whose ids don't depend on other words, each word goes through
-    the library once and is then taken from a table of at most `most` words (emptied when full, but for the words at
-    hand). Any other file, and any text beyond Latin-1 or with a special token in it, is encoded by the library whole."""
+    the library when it is met first and again when it comes up in later texts; from then on it is taken from a table of
+    at most `most` words (emptied when full, but for the words at hand). Any other file, and any text beyond Latin-1 or with a special token in it, is encoded by the library whole."""
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -41,19 +50,23 @@ class Encoder:
             self.last = np.zeros(max(vocab.values()) + 1, bool)
             self.last[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
             self.special = [x["content"] for x in spec.get("added_tokens", [])]
-            self.table: dict[str, bytes] = {}
+            self.table = Words()
+            self.met = bytearray(1 << 22)
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: set[str]) -> None:
-        """Fill the table for words that it lacks; the last id of a word marks its end."""
+        """Ids of words that the table lacks; the last id of a word marks its end."""
         want = list(words)
         ids = np.array(self.bare.encode_batch_fast([" ".join(want)], add_special_tokens=False)[0].ids, "<u4")
         ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
-        raw, at = ids.tobytes(), 0
+        raw, at, met, slots = ids.tobytes(), 0, self.met, len(self.met) - 1
+        self.table.once = once = {}
         for w, end in zip(want, ends, strict=True):
-            self.table[w] = raw[at:end]
+            slot = hash(w) & slots
+            (self.table if met[slot] else once)[w] = raw[at:end]
+            met[slot] = 1
             at = end
 
     def _plain(self, text: str) -> bool:
@@ -71,7 +84,8 @@ class Encoder:
         split = [_words(x.lower()) if p else () for x, p in zip(texts, plain, strict=True)]
         if split and (new := set().union(*split)) and (lack := new - self.table.keys()):
             if len(self.table) + len(lack) > self.most:
-                self.table = {w: b for w in new if (b := self.table.get(w)) is not None}
+                self.table = Words((w, b) for w in new if (b := self.table.get(w)) is not None)
+                self.met = bytearray(len(self.met))
             self._learn(lack)
         get = self.table.__getitem__ if self.by_word else None
         return [b"".join(map(get, s)) if p else next(rest) for s, p in zip(split, plain, strict=True)]
