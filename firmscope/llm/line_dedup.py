@@ -1,9 +1,10 @@
 """Removal of runs of lines that occurred earlier, by winnowing over line hashes.
 
-A window starts at each line and ends at the first line that brings it to `words` words or `lines` lines; where it ends
-depends on its own lines alone, so a run that is repeated has equal windows in every copy. A window's fingerprint is the
-least hash of its lines. Only fingerprints that occur more than once go on: their windows are compared as wholes, which
-extends each match over all its lines, and all but the first window of equal ones have their lines removed.
+A window starts at each line and ends at the first line that brings it to `words` words or `lines` lines; another ends
+at each line and starts at the last line that does so. Both depend on their own lines alone, so a run that is repeated
+has equal windows in every copy, and they cover it from its first line to its last. A window's fingerprint is the least
+hash of its lines. Only fingerprints that occur more than once go on: their windows are compared as wholes, which
+extends each match both ways over all its lines, and all but the first window of equal ones have their lines removed.
 """
 
 from __future__ import annotations
@@ -30,18 +31,21 @@ def windows_of(text: str, lines: int, words: int) -> list[tuple[int, int, int, i
     data = [rows[i].strip().encode("utf-8", "surrogatepass") for i in keep]
     h = [xxhash.xxh64_intdigest(x, 1) for x in data]
     count = [len(x.split()) for x in data]
-    out, end, total = [], 0, 0
+    before = np.r_[0, np.cumsum(count)].tolist()
+    ranges, end = set(), 0
     for a in range(len(keep)):
-        while end < len(keep) and total < words and end - a < lines:
-            total += count[end]
+        while end < len(keep) and before[end] - before[a] < words and end - a < lines:
             end += 1
-        if total < words and end - a < lines:
+        if before[end] - before[a] < words and end - a < lines:
             break
-        inside = h[a:end]
-        whole = xxhash.xxh64_intdigest(np.array(inside, "<u8").tobytes(), 2)
-        out.append((keep[a], keep[end - 1] + 1, min(inside), whole))
-        total -= count[a]
-    return out
+        ranges.add((a, end))
+    start = 0
+    for end in range(1, len(keep) + 1):
+        while before[end] - before[start + 1] >= words or end - start - 1 >= lines:
+            start += 1
+        if before[end] - before[start] >= words or end - start >= lines:
+            ranges.add((start, end))
+    return [(keep[a], keep[e - 1] + 1, min(h[a:e]), xxhash.xxh64_intdigest(np.array(h[a:e], "<u8").tobytes(), 2)) for a, e in sorted(ranges)]
 
 
 def _signed(x: list[int]) -> pa.Array:
@@ -77,7 +81,7 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, lines: int = L
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lines: int = LINES, words: int = WORDS) -> DataFrame:
     """docs with later copies of runs of lines removed from text_col, and `removed_lines` (long) added.
 
-    A run counts from `lines` lines or `words` words on (blank lines aside; lines compare without outer blanks). Its
+    A run counts from `lines` lines or `words` words on (blank lines aside, which go with a window around them; lines compare without outer blanks). Its
     first place, by id and then line, stays; where a document repeats itself all but the first window go, too. Texts
     without a repeated run stay exactly as they are; null ids and null texts are left alone. A text may become empty.
     Of rows that agree in id and text, each loses the same lines. Other columns pass through, whatever their names.
