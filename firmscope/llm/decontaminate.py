@@ -52,12 +52,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     A window is 10 consecutive words of an item, or all of a shorter item that has words; words of a document inside any
     occurrence of a window are hit. Null texts have no words. Rows that agree in id and text get the same result each;
-    items of equal text all count; a null item_id counts in no list. Other columns are not read. Without test items no
+    items of equal text all count; windows of an item without item_id are hit but count in no list. Other columns are not read. Without test items no
     document is hit; no documents give no rows.
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     d = d.select("id", F.xxhash64(F.coalesce("t", F.lit(""))).alias("th"), words_of(F.col("t")).alias("w"))
-    items = checkpointed(benchmark.select(F.col(item_id).cast("string").alias("item"), words_of(F.col(item_text)).alias("w")).filter("size(w) > 0 and item is not null"))
+    items = checkpointed(benchmark.select(F.col(item_id).cast("string").alias("item"), words_of(F.col(item_text)).alias("w")).filter("size(w) > 0"))
     sizes = items.groupBy(F.least(F.size("w"), F.lit(WINDOW)).alias("n")).agg(F.count("*").alias("c")).collect()  # at most ten rows
     short = sorted(r["n"] for r in sizes if r["n"] < WINDOW)
 
