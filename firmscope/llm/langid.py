@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from firmscope.llm.common import map_texts
 
 BITS, ORDERS, PER_LANG = 16, (1, 2, 3), 20_000
-_letter = re.compile(r"[^\W\d_]").search
 _rest = re.compile(r"[\W\d_]+").sub
 
 
@@ -87,7 +86,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[st
         def work(texts):
             pred, score = [], []
             for x in texts:
-                if not langs or not x or not _letter(x):
+                if not langs or not x or not any(map(str.isalpha, x)):
                     pred.append("und"), score.append(0.0)
                     continue
                 z = logs[-1].astype(float) + logs[grams(x)].sum(0, dtype=float)
