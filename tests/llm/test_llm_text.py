@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -116,8 +117,6 @@ def test_simhash_odd(spark):
 
 @pytest.mark.parametrize("most", [512, 3])
 def test_simhash_links_all_near_pairs(spark, most):
-    import numpy as np
-
     rng = np.random.RandomState(1)
     base = rng.randint(-(1 << 63), (1 << 63) - 1, 40, dtype=np.int64)
     values = {int(x) for x in base}
@@ -145,14 +144,14 @@ def brute_contamination(docs, items):
     for i, t in items:
         w = words(t)
         for a in range(max(1, len(w) - 9) if w else 0):
-            windows[tuple(w[a : a + 10])].add(str(i))
+            windows[tuple(w[a : a + 10])] |= set() if i is None else {str(i)}
     sizes = {len(x) for x in windows}
     out = []
     for d, t in docs:
         w, hit, met = words(t), set(), set()
         for n in sizes:
             for a in range(len(w) - n + 1):
-                if x := windows.get(tuple(w[a : a + n])):
+                if (x := windows.get(tuple(w[a : a + n]))) is not None:
                     hit |= set(range(a, a + n))
                     met |= x
         out.append((str(d), len(w), len(hit), len(met), hashlib.sha256(",".join(sorted(met)).encode()).hexdigest(), bool(hit)))
@@ -176,8 +175,8 @@ def test_contamination(spark, sf):
 
 def test_contamination_odd(spark):
     long = " ".join(f"w{i}" for i in range(40))
-    items = [(1, long), (2, "One, two"), (3, None), (4, ""), (5, "la " * 15), (6, long), (7, "x²½"), (8, " ".join(f"w{i}" for i in range(30, 40)))]
-    docs = [*ODD, (20, "pre " + long.upper() + " post"), (21, " ".join(f"w{i}" for i in range(5, 14))), (22, " ".join(f"w{i}" for i in range(5, 15)) + ". W30 " + " ".join(f"w{i}" for i in range(30, 40)))]
+    items = [(1, long), (2, "One, two"), (3, None), (4, ""), (5, "la " * 15), (6, long), (7, "x²½"), (8, " ".join(f"w{i}" for i in range(30, 40))), (None, "no item id here")]
+    docs = [*ODD, (19, "with no item id here."), (20, "pre " + long.upper() + " post"), (21, " ".join(f"w{i}" for i in range(5, 14))), (22, " ".join(f"w{i}" for i in range(5, 15)) + ". W30 " + " ".join(f"w{i}" for i in range(30, 40)))]
     check_contamination(spark, docs, items)
     check_contamination(spark, docs, [])
     check_contamination(spark, [], items)
@@ -186,24 +185,20 @@ def test_contamination_odd(spark):
 
 
 def brute_line_dedup(docs, lines=4, words=50):
-    def windows(t):
-        rows = t.split("\n")
-        keep = [i for i, x in enumerate(rows) if x.strip()]
-        for s in range(len(keep)):
-            n = k = 0
-            while s + k < len(keep) and n < words and k < lines:
-                n += len(rows[keep[s + k]].split())
-                k += 1
-            if n >= words or k >= lines:
-                yield keep[s], keep[s + k - 1] + 1, tuple(rows[i].strip() for i in keep[s : s + k])
-
+    """Every stretch of lines that is long enough is looked up among all earlier ones."""
     seen, out = set(), {}
     for d, t in sorted(docs):
         rows, cut = t.split("\n"), set()
-        for a, e, x in windows(t):
-            if x in seen:
-                cut |= set(range(a, e))
-            seen.add(x)
+        keep = [i for i, x in enumerate(rows) if x.strip()]
+        for s in range(len(keep)):
+            key, n = 0, 0
+            for k in range(s, len(keep)):
+                line = rows[keep[k]].strip()
+                key, n = hash((key, line)), n + len(line.split())
+                if n >= words or k - s + 1 >= lines:
+                    if key in seen:
+                        cut |= set(range(keep[s], keep[k] + 1))
+                    seen.add(key)
         out[d] = "\n".join(r for i, r in enumerate(rows) if i not in cut) if cut else t
     return out
 
@@ -216,6 +211,17 @@ def test_line_dedup(spark, sf):
     assert any(r["removed_lines"] for r in got)
 
 
+def test_line_dedup_runs(spark):
+    """Runs of few different lines of uneven length: matches reach from the first line of a run to its last."""
+    rng = np.random.RandomState(5)
+    lines = [" ".join(f"{c}{i}" for i in range(n)) for c, n in zip("abcdefgh", (3, 8, 12, 20, 28, 33, 49, 55), strict=True)] + ["", "  "]
+    docs = [(d, "\n".join(lines[i] for i in rng.randint(0, len(lines), rng.randint(1, 9)))) for d in range(300)]
+    docs += [(300, "\n".join([lines[5], lines[4] + " x", lines[0] + " y"])), (301, "top\n" + "\n".join([lines[5], lines[4] + " x", lines[0] + " y", "end"]))]
+    filled = lambda texts: {d: [x for x in t.split("\n") if x.strip()] for d, t in texts.items()}  # noqa: E731  blanks between two windows stay
+    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_lines(odd(spark, docs)).collect()}
+    assert filled(got) == filled(brute_line_dedup(docs)) and got[301] == "top\nend"
+
+
 def test_line_dedup_odd(spark):
     run = "\n".join(["Alpha beta", "gamma", "", " delta", "eps"])
     passage = " ".join(f"p{i}" for i in range(60))
@@ -340,6 +346,7 @@ def test_language_odd(spark):
     by = {r["doc_id"]: r for r in rows}
     assert len(rows) == len(ODD) and by[0]["lang_pred"] == by[1]["lang_pred"] == by[2]["lang_pred"] == "und"
     assert by[3]["lang_pred"] in ("de", "en") and 0 <= by[3]["score"] <= 1
+    assert [r["lang_pred"] for r in langid.identify(odd(spark, [(1, "12 ²³ ½ _-")]), model, ["doc_id"]).collect()] == ["und"]
     none = langid.fit(spark.createDataFrame([], "doc_id long, text string, lang string"))
     assert {r["lang_pred"] for r in langid.identify(odd(spark), none, ["doc_id"]).collect()} == {"und"}
     assert langid.identify(odd(spark, []), model, ["doc_id"]).collect() == []
