@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,11 +16,13 @@ SENTENCES = {
     "licensed under the apache license version 2 0 the license": "apache2_ref",
     "you may not use this file except in compliance with the license": "apache2_use",
     "you may obtain a copy of the license at http www apache org licenses license 2 0": "apache2_copy",
+    "you may obtain a copy of the license at https www apache org licenses license 2 0": "apache2_copy",
     "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied": "apache2_asis",
     "see the license for the specific language governing permissions and limitations under the license": "apache2_see",
     "released under the mit license": "mit_ref",
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit_grant",
     "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit_notice",
+    "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software": "mit_notice",
     "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "mit_asis",
     "this work is licensed under the gnu general public license version 3": "gpl3_ref",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl3_free",
@@ -30,6 +33,7 @@ SENTENCES = {
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd_source",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsd_binary",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd_names",
+    "the name of the author may not be used to endorse or promote products derived from this software without specific prior written permission": "bsd_names",
     "licensed under cc by nc 4 0": "cc_by_nc4_ref",
     "licensed under cc by 4 0": "cc_by4_ref",
     "licensed under cc by sa 4 0": "cc_by_sa4_ref",
@@ -53,8 +57,16 @@ RULES = [
     ("CC-BY-4.0", ["cc_by4_ref"]),
 ]
 
-_ends = re.compile(r"\n\s*\n|\n(?=[\s*#/-]*[A-Z0-9(])|(?<=[.:;!?])\s+")
+_ends = re.compile(r"\n\s*\n|\n(?=[\s*#/;%>!|-]*[A-Z0-9(])|(?<=[.:;!?])\s+")
 _other = re.compile(r"[^a-z0-9]+")
+#: Numbers of a list, as pieces of their own or before a sentence.
+_number = re.compile(r"\W*(?:\d{1,2}|[A-Za-z]|[ivx]{2,4})[.)]?\W*")
+_numbered = re.compile(r"\W*(?:\d{1,2}|[A-Za-z]|[ivx]{2,4})\)\s+")
+
+
+@lru_cache(8)
+def _beginnings(sentences: tuple[str, ...]) -> frozenset[str]:
+    return frozenset(" ".join(w[:i]) for w in map(str.split, sentences) for i in range(1, len(w) + 1))
 
 
 def normalise(sentence: str) -> str:
@@ -62,7 +74,7 @@ def normalise(sentence: str) -> str:
 
 
 def sentence_spans(text: str) -> list[tuple[int, int]]:
-    """Places of the sentences of a whole text."""
+    """Places of the pieces of a whole text: its sentences, or parts of them where a line or a clause ends."""
     out, at = [], 0
     for m in _ends.finditer(text):
         out.append((at, m.start()))
@@ -72,13 +84,40 @@ def sentence_spans(text: str) -> list[tuple[int, int]]:
 
 
 def recognise(text: str | None, sentences: dict[str, str], rules: list[tuple[str, list[str]]]) -> list[tuple[str, int, int, int]]:
-    """(licence, start, end, sentences) of each rule met. Sentences between two of a rule end the match, blank ones don't."""
+    """(licence, start, end, sentences) of each rule met. Sentences between two of a rule end the match, blank ones don't.
+
+    Neighbouring pieces that together make a known sentence are that sentence, so it may be wrapped, be the text of a
+    comment or have clauses. Numbers of a list count as blank.
+    """
+    begins = _beginnings(tuple(sentences))
+    text = text or ""
+    pieces = []
+    for a, b in sentence_spans(text):
+        if s := normalise(text[a:b]):
+            if s not in begins and (m := _numbered.match(text, a, b)) and (cut := normalise(text[m.end() : b])) in begins:
+                a, s = m.end(), cut
+            pieces.append((s, a, b))
     ids: list[tuple[str | None, int, int]] = []
-    for a, b in sentence_spans(text or ""):
-        if b - a > 8 and (s := normalise(text[a:b])):
-            ids.append((sentences.get(s), a, b))
-        elif text and text[a:b].strip():
-            ids.append((None, a, b))
+    k = 0
+    while k < len(pieces):
+        s, a, end = pieces[k]
+        if s not in begins and _number.fullmatch(text, a, end):
+            k += 1
+            continue
+        best, j = None, k
+        while s in begins:
+            if s in sentences:
+                best = (j, sentences[s])
+            j += 1
+            if j == len(pieces):
+                break
+            s = f"{s} {pieces[j][0]}"
+        if best:
+            ids.append((best[1], a, pieces[best[0]][2]))
+            k = best[0] + 1
+        else:
+            ids.append((None, a, end))
+            k += 1
     out, i = [], 0
     while i < len(ids):
         if ids[i][0] is not None:
