@@ -119,8 +119,10 @@ def html_text(c: Column) -> Column:
     return squeeze(F.regexp_replace(F.regexp_replace(s, r"(?s)<!--.*?-->", " "), r"<[^>]*>", " "))
 
 
-def chunks(c: Column, size: int, most: int) -> Column:
-    n = F.least(F.ceil(F.length(c) / size).cast("int"), F.lit(most))
+def chunks(c: Column, size: int = 9000, most: int | None = None) -> Column:
+    """Pieces of `size` characters of the whole text, or the first `most` of them."""
+    n = F.ceil(F.length(c) / size).cast("int")
+    n = n if most is None else F.least(n, F.lit(most))
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substr(c, i * size + 1, F.lit(size)))).otherwise(F.array().cast("array<string>"))
 
 

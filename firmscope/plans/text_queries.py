@@ -139,6 +139,12 @@ def chunk_text(t):
     return d.select("doc_id", F.col("chunk").cast("long").alias("chunk"), F.length("c").cast("long").alias("n"), F.md5("c").alias("md5"))
 
 
+@query(None)
+def chunk_text_all(t):
+    d = t.documents.select("doc_id", F.posexplode(X.chunks(F.col("text"))).alias("chunk", "c"))
+    return d.select("doc_id", F.col("chunk").cast("long").alias("chunk"), F.length("c").cast("long").alias("n"), F.md5("c").alias("md5"))
+
+
 @query("SELECT s_suppkey, 'sup ' || s_suppkey || ';alt ' || s_nationkey AS aliases, 'alt ' || s_nationkey AS hit FROM supplier")
 def alias_extract(t):
     remark = F.concat(F.lit("a.k.a. 'Sup "), F.col("s_suppkey"), F.lit("'; f.k.a. 'Alt "), F.col("s_nationkey"), F.lit("'; a.k.a. 'SUP "), F.col("s_suppkey"), F.lit("'"))
