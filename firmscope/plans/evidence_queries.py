@@ -151,10 +151,19 @@ def enrichment_targets(t):
     return d.join(t.events.filter("event_type = 'purchase'").select(F.col("user_id").alias("firm_id")), "firm_id", "left_anti").distinct()
 
 
+def firms_found(t, customers):
+    dim = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("c_nationkey"), F.when(F.lower("r_name").contains("eu"), "Tier 1").when(F.col("r_name") == "AMERICA", "Tier 2").otherwise("Tier 3").alias("jurisdiction_tier"))
+    return customers.join(dim, "c_nationkey").select(F.lower("c_name").alias("firm_id"), F.col("c_mktsegment").alias("model_type"), "jurisdiction_tier")
+
+
 @query("SELECT lower(c_name) AS firm_id, c_mktsegment AS model_type, CASE WHEN r_name = 'EUROPE' THEN 'Tier 1' WHEN r_name = 'AMERICA' THEN 'Tier 2' ELSE 'Tier 3' END AS jurisdiction_tier FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_custkey % 10 = 0")
 def discover_firms(t):
-    dim = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("c_nationkey"), F.when(F.lower("r_name").contains("eu"), "Tier 1").when(F.col("r_name") == "AMERICA", "Tier 2").otherwise("Tier 3").alias("jurisdiction_tier"))
-    return t.customer.filter("c_custkey % 10 = 0").join(dim, "c_nationkey").select(F.lower("c_name").alias("firm_id"), F.col("c_mktsegment").alias("model_type"), "jurisdiction_tier")
+    return firms_found(t, t.customer.filter("c_custkey % 10 = 0"))
+
+
+@query(None)
+def discover_firms_all(t):
+    return firms_found(t, t.customer)
 
 
 @query("SELECT o_custkey AS firm_id, CASE WHEN count(*) FILTER (WHERE o_orderpriority = '1-URGENT') = 0 THEN 'PENDING' ELSE 'CONFIRMED' END AS filing, count(DISTINCT date_trunc('quarter', o_orderdate)) AS periods FROM orders GROUP BY 1 UNION ALL SELECT c_custkey, 'REJECTED', 0 FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
@@ -183,10 +192,19 @@ def field_completeness(t):
     return r.unpivot("field", ["source", "text"], "name", "pct")
 
 
+def truthy(lines):
+    w = Window.partitionBy("l_orderkey")
+    return lines.select("l_orderkey", "l_linenumber", F.bool_and(F.col("l_quantity") > 5).over(w).alias("all_large"), F.pmod(F.col("l_quantity"), F.lit(7)).cast("long").alias("modulo"), F.round(F.coalesce(V.truthy_coalesce(F.col("l_discount")), F.col("l_tax")), 4).alias("first_truthy"))
+
+
 @query("SELECT l_orderkey, l_linenumber, bool_and(l_quantity > 5) OVER (PARTITION BY l_orderkey) AS all_large, CAST(l_quantity % 7 AS BIGINT) AS modulo, round(coalesce(nullif(l_discount, 0), l_tax), 4) AS first_truthy FROM lineitem WHERE l_orderkey % 5 = 0")
 def truthy_fields(t):
-    w = Window.partitionBy("l_orderkey")
-    return t.lineitem.filter("l_orderkey % 5 = 0").select("l_orderkey", "l_linenumber", F.bool_and(F.col("l_quantity") > 5).over(w).alias("all_large"), F.pmod(F.col("l_quantity"), F.lit(7)).cast("long").alias("modulo"), F.round(F.coalesce(V.truthy_coalesce(F.col("l_discount")), F.col("l_tax")), 4).alias("first_truthy"))
+    return truthy(t.lineitem.filter("l_orderkey % 5 = 0"))
+
+
+@query(None)
+def truthy_fields_all(t):
+    return truthy(t.lineitem)
 
 
 @query("SELECT n_name AS list_name, s_suppkey, s_name FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE n_regionkey <> 0 AND s_name ILIKE 'supp%' AND s_acctbal BETWEEN 0 AND 9000")
