@@ -63,24 +63,45 @@ def map_texts(
     schema = T.StructType([df.schema[k] for k in keep] + added.fields)
     names = schema.names
 
+    at_text = keep.index(text_col) if text_col in keep else len(keep)  # a text that is kept goes to Python once
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for whole in batches:
             for at in range(0, whole.num_rows, rows):
                 b = whole.slice(at, rows)
-                yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(keep))] + work(b.column(len(keep)).to_pylist()), names=names)
+                yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(keep))] + work(b.column(at_text).to_pylist()), names=names)
+
+    return df.select(*keep, *([] if text_col in keep else [F.col(text_col).alias("__text")])).mapInArrow(run, schema)
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """df with its columns named c0, c1 and so on, so that none has the name of a working column."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
 
-    return df.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, schema)
+
+def join_by_count(rows: DataFrame, one: DataFrame, key: list[str], count: str, parts: int = 1_000) -> DataFrame:
+    """rows joined with `one`, which has one row a key and in `count` how many of rows have that key.
+
+    Keys with more than one in `parts` of all rows are fewer than `parts`, whatever the tables hold: that bound allows
+    to broadcast them, so their rows stay where they are. The others are joined by a shuffle. Both sides are read twice.
+    """
+    total = one.agg(F.sum(count)).first()[0] or 0
+    hot = one.filter(F.col(count) * parts > total)
+    cold = one.filter(F.col(count) * parts <= total)
+    rest = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(cold, key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
 
 
-def bucketed_rank(df: DataFrame, key: str, order: list[str], per_bucket: int = 1_000) -> DataFrame:
+def bucketed_rank(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """df with `rank` (long, from 0): the place of each row within its key, without all rows of a key in one task.
 
-    Rows of a key are dealt to buckets of about per_bucket rows by a hash of the order columns; the place is the sum
-    of the buckets before plus the place in the bucket. The keys must be few, by their kind: their counts are broadcast.
+    The n rows of a key are dealt to about sqrt(n) buckets by a hash of the order columns, which must tell rows apart;
+    the place is the sum of the buckets before plus the place in the bucket. So neither a bucket nor the counts of a
+    key's buckets are many rows. The keys must be few, by their kind: their counts are broadcast.
     """
     sizes = df.groupBy(key).agg(F.count("*").alias("__n"))
-    dealt = df.join(F.broadcast(sizes), key).withColumn("__b", F.pmod(F.xxhash64(*order), F.ceil(F.col("__n") / per_bucket).cast("long"))).drop("__n")
+    dealt = df.join(F.broadcast(sizes), key).withColumn("__b", F.pmod(F.xxhash64(*order), F.ceil(F.sqrt(F.col("__n"))).cast("long"))).drop("__n")
     counts = dealt.groupBy(key, "__b").agg(F.count("*").alias("__n"))
     before = counts.select(key, "__b", (F.sum("__n").over(Window.partitionBy(key).orderBy("__b")) - F.col("__n")).alias("__before"))
     local = dealt.withColumn("__r", F.row_number().over(Window.partitionBy(key, "__b").orderBy(*order)) - 1)
