@@ -104,7 +104,7 @@ def pack(docs: DataFrame, vocab: str, window: int = WINDOW, end_id: int = 2, sla
         return work
 
     pieces = map_texts(d, ["id", "th"], "t", make, kind).select("id", "th", "doc_tokens", F.explode("pieces").alias("p")).select("id", "th", "doc_tokens", "p.*")
-    pieces = checkpointed(pieces)
+    pieces = checkpointed(pieces.withColumn("u", F.monotonically_increasing_id()))  # tells repeated rows apart; fixed by the checkpoint
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `window` rows
     full = counts.pop(window, 0)
     used, rest = fillings(counts, window, slack)
@@ -129,7 +129,7 @@ def pack(docs: DataFrame, vocab: str, window: int = WINDOW, end_id: int = 2, sla
         total += size * rest[size]
     held = pieces.sparkSession.sparkContext.broadcast((np.array(table, np.int64).reshape(-1, 5), tail))
 
-    ranked = bucketed_rank(pieces, "length", ["id", "th", "start"])
+    ranked = bucketed_rank(pieces, "length", ["id", "th", "start", "u"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, cut = held.value

@@ -58,7 +58,7 @@ def write(docs: DataFrame, folder: str, vocab: str, end_id: int = 1, parts: int
     """Writes the files and returns the parts: part, n_docs, n_tokens, base (ids of all parts before).
 
     Documents go to parts by ranges of their ids and to files in ascending order; of rows with the same id, in the order
-    of their texts' hashes. A null text is empty; every document ends with end_id. Rows with a null id come first and have
+    of their texts' hashes, over several parts if they are many. A null text is empty; every document ends with end_id. Rows with a null id come first and have
     NO_ID in the file. No documents: no parts. dtype is "<u2" for vocabularies of up to 65,536 ids and "<u4" for larger ones.
     """
     spark = docs.sparkSession
@@ -66,7 +66,9 @@ def write(docs: DataFrame, folder: str, vocab: str, end_id: int = 1, parts: int
     _put(f"{folder}/format.json", [json.dumps({"dtype": dtype}).encode()])
     n = parts or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("t"))
-    sortable = d.repartitionByRange(n, "id").withColumn("h", F.xxhash64(F.coalesce("t", F.lit("")))).sortWithinPartitions("id", "h").select("id", "t", F.spark_partition_id().alias("p"))
+    # one id may have many rows, and one row many copies: ranges part them by hash, then by a place that copies may swap
+    ranged = d.withColumns({"h": F.xxhash64(F.coalesce("t", F.lit(""))), "u": F.monotonically_increasing_id()}).repartitionByRange(n, "id", "h", "u")
+    sortable = ranged.sortWithinPartitions("id", "h").select("id", "t", F.spark_partition_id().alias("p"))
     mark = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmscope.llm.common import map_texts
+from firmscope.llm.common import map_texts, numbered
 
 #: Words of the sample are screened: their shares of documents of either label differ by this many standard errors.
 SCREEN = 3.5
@@ -147,15 +147,35 @@ def remainder(id_col: str, n: int):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % n, F.lit(-1))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, per_class: int = 3000) -> DataFrame:
-    """doc_id, held_out, score, predicted and the worst sentence of every row of docs.
+def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> tuple[dict[int, float], float]:
+    """The model of a sample of about per_class labelled documents of each label, whole texts.
 
-    The model is fitted on a sample of about per_class labelled documents of each label, whole texts.
-    labels (doc_id, toxic) are learnt from ids whose remainder mod 3 is not 1; of several labels of an id the largest
-    counts. doc_id, lang, source and the labels are no inputs of a score.
+    labels (doc_id, toxic) are learnt from ids whose remainder mod 3 is not 1. Of several labels of an id the largest
+    counts, of several texts of an id one, chosen by its hash: so no more than the sampled ids reach the driver.
     """
     train = labels.filter(remainder("doc_id", 3).isin(0, 2)).groupBy("doc_id").agg(F.max("toxic").alias("__toxic"))
     chosen = sample_labels(train, "__toxic", "doc_id", per_class)
     # about 2 * per_class ids at most, whatever the tables hold: that bound allows the broadcast
-    model = fit(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "__toxic")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one = texts.groupBy("doc_id").agg(F.max("__toxic").alias("__toxic"), F.min_by("text", F.xxhash64(F.coalesce("text", F.lit("")))).alias("text"))
+    return fit(one, "__toxic")
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, per_class: int = 3000) -> DataFrame:
+    """doc_id, held_out, score, predicted and the worst sentence of every row of docs, by the model that learn() fits.
+
+    doc_id, lang, source and the labels are no inputs of a score.
+    """
+    model = learn(docs, labels, per_class)
     return score(docs.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "text"), model, ["doc_id", "held_out"]).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, per_class: int = 3000) -> DataFrame:
+    """The rows of docs whose own text scores below the threshold; all columns return as they are.
+
+    Each row is judged by its text alone: rows with a null id go like any other, and of rows that share an id only those
+    whose text is toxic. Null and empty texts score 0 and stay. No labels: all stay.
+    """
+    model, rows = learn(docs, labels, per_class), numbered(docs)
+    scored = score(rows, model, rows.columns, f"c{docs.columns.index('text')}")
+    return scored.filter(F.col("score") < threshold).select(*rows.columns).toDF(*docs.columns)
