@@ -106,34 +106,57 @@ def shards_of(counts: dict[int, int], most: int = SHARD) -> dict[int, tuple[int,
     return out
 
 
+def kept(near: list[tuple[float, int]], k: int) -> list[tuple[float, int]]:
+    """Of (distance, id) in order, as many as the k nearest without any one id can come from: k of an id at most, 2 k in all."""
+    out: list[tuple[float, int]] = []
+    of: dict[int, int] = {}
+    for s, i in near:
+        if of.get(i, 0) < k:
+            out.append((s, i))
+            of[i] = of.get(i, 0) + 1
+            if len(out) - max(of.values()) >= k:
+                break
+    return out
+
+
+def enough(near: list[tuple[float, int]], k: int) -> int:
+    """How many are left, at least, without any one id."""
+    ids = [i for _, i in near]
+    return len(ids) - max((ids.count(i) for i in set(ids)), default=0)
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (cosine in double precision): the k nearest found of each row of queries.
 
-    Candidates are all rows of vectors but those of the query's own id. Ties go to the smaller id. Vectors that are
-    null, zero, hold null or non-finite components, or have a null id take no part; so do those of a length other than
-    the commonest. Other columns are not read. A query with fewer than k candidates gets all of them; no rows, no result.
+    Candidates are all rows of vectors but those of the query's own id; repeated rows are candidates each. Ties go to the
+    smaller id. Vectors that are null, zero, hold null or non-finite components, or have a null id take no part. Vectors
+    of different lengths have no cosine: each length is searched by itself, with a tree of its own, so lengths should be
+    few. Other columns are not read. A query with fewer than k candidates gets all of them; no rows, no result.
 
-    The tree is fitted on about `sample` vectors chosen by a hash of their ids, and every vector is put in a leaf.
-    Equal vectors are searched once: only the k + 1 smallest ids of each can be among a query's nearest. Leaves are
-    gathered in shards of about SHARD vectors, which meet TOGETHER queries at a time. Visits per query are calibrated on the sample for the part `recall` of true neighbours.
+    The tree is fitted on about `sample` vectors chosen by a hash of their components, and every vector is put in a leaf.
+    Equal vectors are searched once: only their smallest ids, no more than k of one, can be among a query's nearest.
+    Leaves are gathered in shards of about SHARD vectors, which meet TOGETHER queries at a time. Visits per query are
+    calibrated on the sample for the part `recall` of true neighbours.
     """
 
     def usable(df: DataFrame) -> DataFrame:
         v = F.col(vec_col).cast("array<double>")
         ok = F.col(id_col).isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-        return df.select(F.col(id_col).alias("id"), v.alias("v")).filter(F.coalesce(ok, F.lit(False)))
-
-    spark = vectors.sparkSession
-    schema = "query_id long, rank int, vec_id long, score double"
-    rows = usable(vectors)
-    dims = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    if dims is None:
-        return spark.createDataFrame([], schema)
-    d = dims["d"]
-
-    # the k + 1 smallest ids of each vector; the rank is cut before the shuffle, so a common vector sends few rows
-    by_id = Window.partitionBy("v").orderBy("id")
-    first = rows.filter(F.size("v") == d).dropDuplicates(["id", "v"]).withColumn("r", F.row_number().over(by_id)).filter(F.col("r") <= k + 1)
+        return df.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter(F.coalesce(ok, F.lit(False)))
+
+    rows, asked = usable(vectors), usable(queries)
+    lengths = sorted(r["d"] for r in asked.select(F.size("v").alias("d")).distinct().collect())
+    out = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for d in lengths:
+        out = out.unionByName(_of_length(rows.filter(F.size("v") == d), asked.filter(F.size("v") == d), d, k, sample, recall))
+    return out
+
+
+def _of_length(rows: DataFrame, asked: DataFrame, d: int, k: int, sample: int, recall: float) -> DataFrame:
+    spark = rows.sparkSession
+    # of each vector k rows of an id, and of these the 2 k smallest ids; ranks are cut before the shuffle, so a common vector sends few rows
+    of_id, by_id = Window.partitionBy("v", "id").orderBy("id"), Window.partitionBy("v").orderBy("id")
+    first = rows.withColumn("r", F.row_number().over(of_id)).filter(F.col("r") <= k).drop("r").withColumn("r", F.row_number().over(by_id)).filter(F.col("r") <= 2 * k)
     distinct = checkpointed(first.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("key", F.xxhash64("v")))
     total = distinct.count()
     part = F.pmod(F.xxhash64(F.lit("tree"), F.col("key")), F.lit(1_000_000)) < int(1e6 * min(1.0, sample / max(1, total)))
@@ -156,7 +179,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
     counts = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # a row a leaf at most
     shards = shards_of(counts)
     table = spark.createDataFrame([(leaf, first, n) for leaf, (first, n) in shards.items()], "leaf long, first long, n long")
-    asked = checkpointed(usable(queries).filter(F.size("v") == d))
+    asked = checkpointed(asked)
     q = asked.select("v").distinct().withColumn("key", F.xxhash64("v"))
     together = max(1, -(-q.count() // TOGETHER))
     cand = placed.join(F.broadcast(table), "leaf").select((F.col("first") + F.pmod("key", "n")).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(together - 1))).alias("part"), "leaf", "v", "ids")
@@ -187,17 +210,21 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_
             a = np.array(some["v"].tolist(), float).reshape(-1, d)
             visited = np.array([np.isin(names, x) for x in some["leaves"]])
             rough = np.where(visited[:, code], unit(some["v"]) @ uc.T, -2.0)
-            n = min(k + 1, len(b))
+            n = min(2 * k, len(b))
             edges = np.partition(rough, len(b) - n, axis=1)[:, len(b) - n]
             for i, row in enumerate(rough):
                 own = np.flatnonzero(row >= max(edges[i] - 1e-9, -1.5))
                 exact = b[own] @ a[i] / (norm[own] * np.linalg.norm(a[i]))
-                best = sorted((-float(exact[j]), int(v)) for j in np.lexsort((first[own], -exact))[: k + 1] for v in ids[own[j]])
-                near.append([{"s": x, "id": v} for x, v in best[: k + 1]])
+                best = kept(sorted((-float(exact[j]), int(v)) for j in np.lexsort((first[own], -exact))[: 2 * k] for v in ids[own[j]]), k)
+                if enough(best, k) < k and (row > -1.5).sum() > len(own):  # an id with many vectors near by: all that is visited, in order
+                    own = np.flatnonzero(row > -1.5)
+                    exact = b[own] @ a[i] / (norm[own] * np.linalg.norm(a[i]))
+                    best = kept(sorted((-float(e), int(v)) for e, j in zip(exact, own, strict=True) for v in ids[j]), k)
+                near.append([{"s": x, "id": v} for x, v in best])
         return pd.DataFrame({"v": qs["v"].tolist(), "near": near})
 
     got = cand.groupBy("shard", "part").cogroup(q.groupBy("shard", "part")).applyInPandas(closest, "v array<double>, near array<struct<s:double,id:long>>")
-    ids = got.groupBy("v").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near"))  # k + 1 from each shard
+    ids = got.groupBy("v").agg(F.array_sort(F.flatten(F.collect_list("near"))).alias("near"))  # 2 k from each shard
     own = asked.join(ids, "v").select(F.col("id").alias("q"), F.slice(F.filter("near", lambda x: x["id"] != F.col("id")), 1, k).alias("near"))
     return own.select("q", F.posexplode("near")).select(F.col("q").cast("long").alias("query_id"), (F.col("pos") + 1).cast("int").alias("rank"), F.col("col.id").cast("long").alias("vec_id"), (-F.col("col.s")).alias("score"))
 

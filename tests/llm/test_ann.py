@@ -34,3 +34,38 @@ def test_odd(spark):
     assert ann.nearest(df.limit(0), df.limit(0)).collect() == []
     one = df.filter("vec_id = 50")
     assert ann.nearest(one, one).collect() == []
+
+
+def brute(rows, k=5):
+    """(query, rank, id) by comparing all vectors of a length, for queries of ids divisible by 50; rows of the query's own id aside."""
+    ok = [(i, np.array(v, float)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = []
+    for q, u in ok:
+        if q % 50 == 0:
+            near = sorted((-round(float(u @ v / np.linalg.norm(u) / np.linalg.norm(v)), 12), i) for i, v in ok if i != q and len(v) == len(u))
+            out += [(q, r + 1, i) for r, (_, i) in enumerate(near[:k])]
+    return sorted(out)
+
+
+def test_repeated_ids_and_lengths(spark):
+    """Ids with several vectors, vectors with several ids, repeated rows and vectors of other lengths."""
+    rng = np.random.RandomState(4)
+    base = rng.normal(size=(6, 4))
+    rows = [(50, (base[0] + 1e-3 * rng.normal(size=4)).tolist()) for _ in range(40)]
+    rows += [(int(i), (base[i % 6] + 0.1 * rng.normal(size=4)).tolist()) for i in range(1, 40)]
+    rows += [(100, base[1].tolist()), (100, base[1].tolist()), (150, base[1].tolist()), *[(7, base[1].tolist())] * 9, (8, base[1].tolist())]
+    rows += [(200, [1.0, 2.0]), (201, [2.0, 1.0]), (202, [1.0]), (250, [3.0]), (300, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in ann.nearest(df, df.filter("vec_id % 50 = 0")).collect())
+    assert got == brute(rows)
+
+
+def test_parts_and_large_leaves(spark, monkeypatch):
+    """Several parts of queries, a leaf over several shards: the same rows as comparing all."""
+    monkeypatch.setattr(ann, "TOGETHER", 3)
+    monkeypatch.setattr(ann, "SHARD", 64)
+    rng = np.random.RandomState(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(600, 3)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in ann.nearest(df, df.filter("vec_id % 50 = 0"), sample=100).collect())
+    assert got == brute(rows)
