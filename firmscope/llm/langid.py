@@ -14,12 +14,20 @@ from pyspark.sql import functions as F
 from firmscope.llm.common import map_texts
 
 BITS, ORDERS, PER_LANG = 16, (1, 2, 3), 20_000
+#: Languages that a model may have: each takes 512 kB on the driver and 256 kB in the broadcast. More are an error.
+MOST_LANGS = 500
+#: Letters of a text that are cut into n-grams at once, and slots of texts that are scored at once.
+BLOCK, TOGETHER = 1 << 20, 1 << 19
 _rest = re.compile(r"[\W\d_]+").sub
 
 
 def grams(text: str, bits: int = BITS, orders: tuple[int, ...] = ORDERS) -> np.ndarray:
     """Slots of all character n-grams of a whole text, lower-cased, anything but letters as one blank."""
-    c = np.frombuffer(f" {_rest(' ', text.lower()).strip()} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    return _slots(f" {_rest(' ', text.lower()).strip()} ", bits, orders)
+
+
+def _slots(letters: str, bits: int, orders: tuple[int, ...]) -> np.ndarray:
+    c = np.frombuffer(letters.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     out = []
     for n in orders:
         if len(c) >= n:
@@ -31,14 +39,28 @@ def grams(text: str, bits: int = BITS, orders: tuple[int, ...] = ORDERS) -> np.n
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
+def gram_counts(text: str, bits: int = BITS, orders: tuple[int, ...] = ORDERS) -> np.ndarray:
+    """How often each slot occurs among grams(text); a long text is taken in blocks of BLOCK letters."""
+    letters = f" {_rest(' ', text.lower()).strip()} "
+    total = np.zeros(1 << bits, np.int64)
+    for at in range(0, len(letters), BLOCK):
+        for n in orders:  # grams that begin in this block
+            total += np.bincount(_slots(letters[at : at + BLOCK + n - 1], bits, (n,)), minlength=1 << bits)
+    return total
+
+
 def fit(examples: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", per_lang: int = PER_LANG) -> tuple[list[str], np.ndarray]:
     """Languages, sorted, and their log-probabilities (slots x languages), add-one smoothed, plus a last row of priors.
 
     Learnt from about per_lang whole documents of each language, chosen by a hash of the id; priors from all of them.
     Rows with null text, language or id take no part. Slots are summed by Spark: a row for each language and 1,024 slots.
+    More than MOST_LANGS languages are an error, not a cut.
     """
     rows = examples.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r["l"]: r["n"] for r in rows.groupBy(F.col(lang_col).alias("l")).agg(F.count("*").alias("n")).collect()}
+    found = rows.groupBy(F.col(lang_col).alias("l")).agg(F.count("*").alias("n")).limit(MOST_LANGS + 1).collect()
+    if len(found) > MOST_LANGS:
+        raise ValueError(f"over {MOST_LANGS} languages")
+    counts = {r["l"]: r["n"] for r in found}
     if not counts:
         return [], np.zeros(((1 << BITS) + 1, 0))
     langs = sorted(counts)
@@ -53,7 +75,7 @@ def fit(examples: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", tex
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if lang not in total:
                     total[lang] = np.zeros(1 << BITS, np.int64)
-                total[lang] += np.bincount(grams(text), minlength=1 << BITS)
+                total[lang] += gram_counts(text)
         for lang, c in total.items():
             blocks = c.reshape(-1, 1024)
             used = np.flatnonzero(blocks.any(1))
@@ -78,21 +100,32 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[st
     equally likely languages the first in order is taken. One row for each row of docs.
     """
     langs, table = model
-    held = docs.sparkSession.sparkContext.broadcast(table.astype("f4"))
+    held = docs.sparkSession.sparkContext.broadcast(table.astype("f4"))  # 256 kB a language, MOST_LANGS at most
 
     def make():
         logs = held.value
 
+        def scored(slots: list[np.ndarray], n: list[np.ndarray]) -> np.ndarray:
+            """Log-probabilities of texts, one a row: their sparse counts times the matrix, plus the priors."""
+            at = np.cumsum([0, *map(len, slots[:-1])])
+            rows = np.concatenate(n)[:, None] * logs[np.concatenate(slots)].astype(float)
+            return logs[-1].astype(float) + np.add.reduceat(rows, at, axis=0)
+
         def work(texts):
-            pred, score = [], []
-            for x in texts:
-                if not langs or not x or not any(map(str.isalpha, x)):
-                    pred.append("und"), score.append(0.0)
-                    continue
-                z = logs[-1].astype(float) + logs[grams(x)].sum(0, dtype=float)
-                p = np.exp(z - z.max())
-                k = int(np.argmax(p))
-                pred.append(langs[k]), score.append(float(p[k] / p.sum()))
+            pred, score = ["und"] * len(texts), [0.0] * len(texts)
+            rows, slots, n, size = [], [], [], 0
+            for i, x in enumerate([*texts, None]):
+                if langs and x and any(map(str.isalpha, x)):
+                    c = gram_counts(x)
+                    rows.append(i), slots.append(np.flatnonzero(c)), n.append(c[slots[-1]])
+                    size += len(slots[-1])
+                if rows and (size > TOGETHER or i == len(texts)):
+                    z = scored(slots, n)
+                    p = np.exp(z - z.max(1, keepdims=True))
+                    best = p.argmax(1)
+                    for j, row in enumerate(rows):
+                        pred[row], score[row] = langs[best[j]], float(p[j, best[j]] / p[j].sum())
+                    rows, slots, n, size = [], [], [], 0
             return [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
 
         return work
