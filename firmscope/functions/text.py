@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from firmscope.functions import extract as E
+
 #: Words that a company name may end with, and accents that are stripped.
 LEGAL = "ltd|limited|inc|llc|plc|corp|corporation|company|co|gmbh|sa|ag"
+LEGAL_SHORT = "ltd|limited|inc|llc|plc|corp|company|co"
 ACCENTED, PLAIN = "áàâäãåéèêëíìîïóòôöõúùûüñçýÿ", "aaaaaaeeeeiiiiooooouuuuncyy"
 
 
@@ -24,9 +27,9 @@ def name_space(c: Column) -> Column:
     return squeeze(F.regexp_replace(F.translate(F.lower(c), ACCENTED, PLAIN), r"[^a-z0-9]+", " "))
 
 
-def name_no_suffix(c: Column) -> Column:
+def name_no_suffix(c: Column, suffixes: str = LEGAL) -> Column:
     """As name_space, without legal suffixes."""
-    return squeeze(F.regexp_replace(name_space(c), rf"\b({LEGAL})\b", " "))
+    return squeeze(F.regexp_replace(name_space(c), rf"\b({suffixes})\b", " "))
 
 
 def slug(c: Column, most: int | None = None) -> Column:
@@ -65,6 +68,11 @@ def similarity(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(F.least(F.lit(1.0), 0.6 * edit_similarity(a, b) + 0.4 * token_similarity(a, b) + inside))
 
 
+def combined_similarity(a: Column, b: Column) -> Column:
+    """0.7 similarity and 0.3 of 0.8 for names that sound alike."""
+    return 0.7 * similarity(a, b) + 0.3 * F.when(soundex(a) == soundex(b), 0.8).otherwise(0.0)
+
+
 def trigrams(c: Column) -> Column:
     """Distinct trigrams of each word, padded with two blanks before and one after."""
     words = F.array_remove(F.split(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "), " "), "")
@@ -88,18 +96,12 @@ def first_year(c: Column, low: int = 1990, high: int = 2026) -> Column:
 
 
 def frequency(c: Column) -> Column:
-    """Payout frequency by the first word met, in this order; biweekly text reads as weekly, as it contains it."""
-    low, out = F.lower(c), F.lit(None).cast("string")
-    for word, name in reversed([("on demand", "on_demand"), ("daily", "daily"), ("weekly", "weekly"), ("biweekly", "biweekly"), ("monthly", "monthly")]):
-        out = F.when(low.contains(word), name).otherwise(out)
-    return out
+    """Payout frequency of a text by word, else by interval; null if it mentions neither payouts nor withdrawals."""
+    return E.payout_frequency(c)
 
 
 def delay_days(c: Column) -> Column:
-    low, out = F.lower(c), F.lit(None).cast("int")
-    for word, n in reversed([("demand", 0), ("daily", 1), ("bi", 14), ("weekly", 7), ("monthly", 30)]):
-        out = F.when(low.contains(word), n).otherwise(out)
-    return out
+    return E.delay_days(c)
 
 
 def host(url: Column) -> Column:

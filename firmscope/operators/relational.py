@@ -6,6 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are worked out once a row, however often later steps use them.
+
+    Spark folds a projection into the next one, so that an expression used ten times is evaluated, and planned, ten
+    times. A generator in between, of one row each, keeps it from that; it costs no shuffle.
+    """
+    made = F.explode_outer(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))).alias("__once")
+    return df.select("*", made).select(*(c for c in df.columns if c not in columns), "__once.*")
+
+
 def latest_by(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
     """The last row of each key by the order columns. The rank is cut before the shuffle, so a common key sends few rows."""
     w = Window.partitionBy(*keys).orderBy(*(F.desc(c) for c in order))
@@ -25,12 +35,7 @@ def percentile_best0(df: DataFrame, value: str, keys: list[str], out: str) -> Da
     """
     counts = df.groupBy(*keys, value).agg(F.count("*").alias("__c"))
     if not keys:
-        # one group: counts of values by range, so that the running sum is taken in many tasks
-        counts = counts.withColumn("__g", F.floor(F.col(value) / 100))
-        inside = Window.partitionBy("__g").orderBy(value)
-        groups = counts.groupBy("__g").agg(F.sum("__c").alias("__n"))
-        before = groups.select("__g", (F.sum("__n").over(Window.orderBy("__g")) - F.col("__n")).alias("__b"), F.sum("__n").over(Window.partitionBy()).alias("__n"))
-        ranks = counts.withColumn("__i", F.sum("__c").over(inside)).join(before, "__g").select(value, (F.col("__i") + F.col("__b")).alias("__r"), "__n")
+        ranks = running_counts(counts.filter(F.col(value).isNotNull()), value, "__c").select(value, F.col("upto").alias("__r"), F.col("total").alias("__n"))
     else:
         w = Window.partitionBy(*keys)
         ranks = counts.select(*keys, value, F.sum("__c").over(w.orderBy(value)).alias("__r"), F.sum("__c").over(w).alias("__n"))
@@ -71,8 +76,23 @@ def sample_skewness(c: str) -> Column:
     return F.when((n < 3) | (F.stddev_pop(c) == 0), 0.0).otherwise(F.skewness(c) * F.sqrt((n * (n - 1)).cast("double")) / (n - 2))
 
 
+def running_counts(counts: DataFrame, value: str, count: str, parts: int = 256) -> DataFrame:
+    """counts (distinct values and how often each occurs) with `upto`, the sum of counts up to a value, and `total`.
+
+    Values are parted into up to `parts` ranges of about equal size, by quantiles: sums are taken within ranges, and
+    over the ranges' totals, of which there are no more than `parts`. No task sees all values.
+    """
+    cuts = sorted(set(counts.approxQuantile(value, [i / parts for i in range(1, parts)], 1 / (2 * parts))))
+    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda x: x < F.col(value))) if cuts else F.lit(0)
+    ranged = counts.withColumn("__g", part)
+    totals = ranged.groupBy("__g").agg(F.sum(count).alias("__t"))
+    before = totals.select("__g", (F.sum("__t").over(Window.orderBy("__g")) - F.col("__t")).alias("__b"), F.sum("__t").over(Window.partitionBy()).alias("total"))
+    inside = F.sum(count).over(Window.partitionBy("__g").orderBy(value))
+    return ranged.withColumn("__i", inside).join(F.broadcast(before), "__g").withColumn("upto", F.col("__i") + F.col("__b")).drop("__g", "__i", "__b")
+
+
 def nth_smallest(df: DataFrame, value: str, position: Column) -> DataFrame:
-    """One row: the value at a place (from 0) of the ascending order, by counts of distinct values."""
+    """One row: the value at a place (from 0) of the ascending order, by running counts of distinct values; `n` is the number of rows."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("c"))
-    run = counts.select(value, F.sum("c").over(Window.orderBy(value)).alias("upto"), F.sum("c").over(Window.partitionBy()).alias("n"))
+    run = running_counts(counts, value, "c").withColumnRenamed("total", "n")
     return run.filter(F.col("upto") > position).agg(F.min(value).alias(value))

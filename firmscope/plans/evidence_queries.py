@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from firmscope.functions import rules as L
 from firmscope.functions import text as X
 from firmscope.functions import values as V
 from firmscope.operators import relational as R
@@ -30,19 +31,18 @@ def compliance_class(t):
     return c.withColumn("class", V.band(F.col("crit"), [(5, "non_compliant"), (3, "partial"), (1, "mostly")], "compliant"))
 
 
-@query("WITH w AS (SELECT user_id AS firm_id, max(value) AS top, bool_or(event_type = 'error') AS listed FROM events WHERE value > 40 GROUP BY 1) SELECT firm_id, CASE WHEN listed AND top > 99 THEN -1.0::DOUBLE WHEN top >= 90 THEN -0.6::DOUBLE WHEN top >= 75 THEN -0.3::DOUBLE ELSE 0.0::DOUBLE END AS impact FROM w")
+@query("WITH w AS (SELECT user_id AS firm_id, max(value) AS top, bool_or(event_type = 'error') AS listed FROM events WHERE value > 40 GROUP BY 1) SELECT firm_id, CASE WHEN listed THEN -1.0::DOUBLE WHEN top > 90 THEN -0.7::DOUBLE WHEN top > 75 THEN -0.4::DOUBLE ELSE -0.1::DOUBLE END AS impact FROM w")
 def watchlist_impact(t):
-    w = t.events.filter("value > 40").groupBy(F.col("user_id").alias("firm_id")).agg(F.max("value").alias("top"), F.bool_or(F.col("event_type") == "error").alias("listed"))
-    top = F.col("top")
-    return w.select("firm_id", F.when(F.col("listed") & (top > 99), -1.0).when(top >= 90, -0.6).when(top >= 75, -0.3).otherwise(0.0).alias("impact"))
+    lists = F.collect_set(F.when(F.col("event_type") == "error", "OFAC").otherwise("EU"))
+    w = t.events.filter("value > 40").groupBy(F.col("user_id").alias("firm_id")).agg(F.max("value").alias("top"), lists.alias("lists"))
+    return w.select("firm_id", L.watchlist_impact(F.col("lists"), F.col("top") / 100).alias("impact"))
 
 
-@query("WITH r AS (SELECT o_custkey AS firm_id, avg(CASE WHEN o_orderstatus = 'F' THEN 1.0::DOUBLE ELSE 0 END) AS share, count(*) AS n FROM orders GROUP BY 1) SELECT firm_id, CASE WHEN share > 0.6 THEN 'surge' WHEN share > 0.4 THEN 'watch' ELSE 'none' END AS issue, least(CASE WHEN share > 0.6 THEN -0.6::DOUBLE WHEN share > 0.4 THEN -0.3::DOUBLE ELSE 0.0::DOUBLE END, CASE WHEN n > 15 THEN -0.5::DOUBLE ELSE 0.0::DOUBLE END) AS impact FROM r")
+@query("WITH r AS (SELECT o_custkey AS firm_id, avg(CASE WHEN o_orderstatus = 'F' THEN 1.0::DOUBLE ELSE 0 END) AS share, count(*) AS n FROM orders GROUP BY 1) SELECT firm_id, share > 0.15 AS surge, CASE WHEN share > 0.25 THEN -0.6::DOUBLE WHEN share > 0.15 THEN -0.35::DOUBLE ELSE 0.0::DOUBLE END AS surge_impact, CASE WHEN n > 15 THEN -0.75::DOUBLE WHEN n > 8 THEN -0.45::DOUBLE ELSE 0.0::DOUBLE END AS complaint_impact FROM r")
 def surge_rules(t):
     r = t.orders.groupBy(F.col("o_custkey").alias("firm_id")).agg(F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0)).alias("s"), F.count("*").alias("n"))
-    s = F.col("s")
-    first = F.when(s > 0.6, -0.6).when(s > 0.4, -0.3).otherwise(0.0)
-    return r.select("firm_id", F.when(s > 0.6, "surge").when(s > 0.4, "watch").otherwise("none").alias("issue"), F.least(first, F.when(F.col("n") > 15, -0.5).otherwise(0.0)).alias("impact"))
+    surge, complaints = L.review_surge(F.col("s")), L.payout_complaints(F.col("n"), F.lit(1.0))
+    return r.select("firm_id", surge["has_issue"].alias("surge"), surge["impact"].alias("surge_impact"), complaints["impact"].alias("complaint_impact"))
 
 
 @query("SELECT s_suppkey AS firm_id, concat_ws(' | ', CASE WHEN s_acctbal < 0 THEN 'Account is negative.' END, CASE WHEN s_nationkey IN (3, 7, 11) THEN 'Registered offshore.' END, CASE WHEN s_acctbal >= 0 AND s_nationkey NOT IN (3, 7, 11) THEN 'No findings.' END) AS notes, CASE WHEN s_acctbal < 0 AND s_nationkey IN (3, 7, 11) THEN 'high' WHEN s_acctbal < 0 OR s_nationkey IN (3, 7, 11) THEN 'medium' ELSE 'low' END AS risk FROM supplier")
@@ -156,9 +156,9 @@ def firms_found(t, customers):
     return customers.join(dim, "c_nationkey").select(F.lower("c_name").alias("firm_id"), F.col("c_mktsegment").alias("model_type"), "jurisdiction_tier")
 
 
-@query("SELECT lower(c_name) AS firm_id, c_mktsegment AS model_type, CASE WHEN r_name = 'EUROPE' THEN 'Tier 1' WHEN r_name = 'AMERICA' THEN 'Tier 2' ELSE 'Tier 3' END AS jurisdiction_tier FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_custkey % 10 = 0")
+@query("SELECT lower(c_name) AS firm_id, c_mktsegment AS model_type, CASE WHEN r_name = 'EUROPE' THEN 'Tier 1' WHEN r_name = 'AMERICA' THEN 'Tier 2' ELSE 'Tier 3' END AS jurisdiction_tier FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
 def discover_firms(t):
-    return firms_found(t, t.customer.filter("c_custkey % 10 = 0"))
+    return firms_found(t, t.customer)
 
 
 @query(None)
@@ -197,9 +197,9 @@ def truthy(lines):
     return lines.select("l_orderkey", "l_linenumber", F.bool_and(F.col("l_quantity") > 5).over(w).alias("all_large"), F.pmod(F.col("l_quantity"), F.lit(7)).cast("long").alias("modulo"), F.round(F.coalesce(V.truthy_coalesce(F.col("l_discount")), F.col("l_tax")), 4).alias("first_truthy"))
 
 
-@query("SELECT l_orderkey, l_linenumber, bool_and(l_quantity > 5) OVER (PARTITION BY l_orderkey) AS all_large, CAST(l_quantity % 7 AS BIGINT) AS modulo, round(coalesce(nullif(l_discount, 0), l_tax), 4) AS first_truthy FROM lineitem WHERE l_orderkey % 5 = 0")
+@query("SELECT l_orderkey, l_linenumber, bool_and(l_quantity > 5) OVER (PARTITION BY l_orderkey) AS all_large, CAST(l_quantity % 7 AS BIGINT) AS modulo, round(coalesce(nullif(l_discount, 0), l_tax), 4) AS first_truthy FROM lineitem")
 def truthy_fields(t):
-    return truthy(t.lineitem.filter("l_orderkey % 5 = 0"))
+    return truthy(t.lineitem)
 
 
 @query(None)
@@ -238,10 +238,10 @@ def array_functions(t):
     return v.select("p_brand", F.array_join(F.slice("s", 1, 5), ",").alias("first5"), F.size("s").cast("long").alias("distinct_sizes"), F.array_contains("s", 7).alias("has7"), F.aggregate("s", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
 
 
-@query("SELECT page_id, substr(regexp_extract(html, '<title>([^<]*)</title>', 1), 1, 40) AS title, len(regexp_extract_all(html, '<h[1-3][^>]*>')) AS headings, html ILIKE '%captcha%' AS captcha, CASE WHEN regexp_matches(url, 'rule|terms') THEN 'rules' WHEN regexp_matches(url, 'price|plan') THEN 'pricing' ELSE 'home' END AS kind FROM pages")
+@query("SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, len(regexp_extract_all(html, '<h[1-3][^>]*>')) AS headings, html ILIKE '%captcha%' AS captcha, CASE WHEN regexp_matches(url, 'rule|terms') THEN 'rules' WHEN regexp_matches(url, 'price|plan') THEN 'pricing' ELSE 'home' END AS kind FROM pages")
 def page_fields(t):
     kind = F.when(F.col("url").rlike("rule|terms"), "rules").when(F.col("url").rlike("price|plan"), "pricing").otherwise("home")
-    return t.pages.select("page_id", F.substring(F.regexp_extract("html", "<title>([^<]*)</title>", 1), 1, 40).alias("title"), F.size(F.regexp_extract_all("html", F.lit("(<h[1-3][^>]*>)"), F.lit(1))).cast("long").alias("headings"), F.col("html").ilike("%captcha%").alias("captcha"), kind.alias("kind"))
+    return t.pages.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.size(F.regexp_extract_all("html", F.lit("(<h[1-3][^>]*>)"), F.lit(1))).cast("long").alias("headings"), F.col("html").ilike("%captcha%").alias("captcha"), kind.alias("kind"))
 
 
 @query("SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS search_text, (len(list_intersect(string_split(p_name, ' '), ['cold', 'widget', 'gear'])) / 3.0)::DOUBLE AS rank FROM part WHERE len(list_intersect(string_split(p_name, ' '), ['cold', 'widget', 'gear'])) > 0")

@@ -5,9 +5,12 @@ Stand-ins: customer and supplier are firms, events are datapoints and agent logs
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from datetime import date
+
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
+from firmscope.functions import rules as L
 from firmscope.functions import values as V
 from firmscope.operators import relational as R
 from firmscope.plans.registry import Tables, query
@@ -18,18 +21,28 @@ SCORES = """scores AS (SELECT l_suppkey AS firm_id, CAST(year(l_shipdate)*4 + qu
  cur AS (SELECT s.* FROM scores s JOIN last2 USING (snapshot_id) WHERE rn = 1), prev AS (SELECT s.* FROM scores s JOIN last2 USING (snapshot_id) WHERE rn = 2)"""
 
 
-def scores(t: Tables):
-    return t.lineitem.groupBy(F.col("l_suppkey").alias("firm_id"), (F.year("l_shipdate") * 4 + F.quarter("l_shipdate")).cast("long").alias("snapshot_id")).agg(
+def scores(t: Tables, where: Column | None = None):
+    lines = t.lineitem if where is None else t.lineitem.filter(where)
+    return lines.groupBy(F.col("l_suppkey").alias("firm_id"), (F.year("l_shipdate") * 4 + F.quarter("l_shipdate")).cast("long").alias("snapshot_id")).agg(
         F.round(F.avg("l_quantity") * 2, 4).alias("score"), F.round(F.avg("l_discount") * 10, 4).alias("na_rate")
     )
 
 
 def last_two(t: Tables):
-    """Scores of the newest snapshot and of the one before; the snapshots are ranked, not the scores."""
-    s = scores(t)
-    ranks = s.select("snapshot_id").distinct().withColumn("rn", F.row_number().over(Window.orderBy(F.desc("snapshot_id"))))
-    at = lambda k: s.join(F.broadcast(ranks.filter(F.col("rn") == k).select("snapshot_id")), "snapshot_id")  # noqa: E731  one row
-    return at(1), at(2)
+    """Scores of the newest snapshot and of the one before.
+
+    The two are found first, from one column; a range of dates for each then reaches the scan, so that no other
+    snapshot is read or aggregated.
+    """
+    ids = [r["i"] for r in t.lineitem.select(F.trunc("l_shipdate", "quarter").alias("i")).distinct().orderBy(F.desc("i")).limit(2).collect()]
+    day = lambda d: F.lit(d).cast("timestamp_ntz")
+
+    def at(k: int):
+        start = ids[k] if k < len(ids) else date(1, 1, 1)
+        end = date(start.year + (start.month + 2) // 12, (start.month + 2) % 12 + 1, 1)
+        return scores(t, (F.col("l_shipdate") >= day(start)) & (F.col("l_shipdate") < day(end)))
+
+    return at(0), at(1)
 
 
 @query("SELECT user_id AS firm_id, event_type AS key, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1")
@@ -418,11 +431,11 @@ def survivability(t):
     return d.select("firm_id", "survivability", V.band(F.col("survivability"), [(0.6, "strong"), (0.45, "moderate")], "weak").alias("band"))
 
 
-@query(f"WITH {Q} SELECT firm_id, round(least(1, greatest(0, 0.3*(1-f) + 0.2*(1-a) + 0.2*i + 0.2*c + 0.1 - CASE WHEN snaps < 3 THEN 0.2 ELSE 0 END)), 5)::DOUBLE AS inclusion FROM v WHERE a IS NOT NULL")
+@query(f"WITH {Q} SELECT firm_id, round(least(1, greatest(0, 0.3*(1-f) + 0.2*(1-a) + 0.2*i + 0.2*c + 0.1*(1-a) - CASE WHEN snaps < 3 THEN 0.30 ELSE 0 END - CASE WHEN f > 0.4 THEN 0.25 ELSE 0 END - CASE WHEN i > 0.9 THEN 0.40 ELSE 0 END - CASE WHEN c < 0.5 THEN 0.20 ELSE 0 END)), 5)::DOUBLE AS inclusion FROM v WHERE a IS NOT NULL")
 def inclusion_probability(t):
-    d = volatility(t).filter("a is not null")
-    raw = V.weighted({"f": 0.3, "a": 0.2, "i": 0.2, "c": 0.2}, invert=("f", "a")) + 0.1 - F.when(F.col("snaps") < 3, 0.2).otherwise(0.0)
-    return d.select("firm_id", F.round(V.clamp01(raw), 5).alias("inclusion"))
+    d, c = volatility(t).filter("a is not null"), F.col
+    p = L.inclusion(1 - c("f"), 1 - c("a"), c("i"), 1 - c("c"), c("a"), c("snaps") < 3, c("f"), c("i") > 0.9, c("c") < 0.5)
+    return d.select("firm_id", F.round(p, 5).alias("inclusion"))
 
 
 @query(f"WITH {FEATURES} SELECT c.scenario, round(avg(CASE c.scenario WHEN 'drop_payout' THEN CASE WHEN pillar = 'payout' THEN NULL ELSE ps END WHEN 'na_shock' THEN (ps + 0.5) / 2 ELSE ps END), 6) AS mean_pillar FROM p, (SELECT unnest(['base', 'drop_payout', 'na_shock']) AS scenario) c GROUP BY 1")
@@ -453,7 +466,7 @@ def sentiment_trend(t):
     return x.select("firm_id", "day", F.round("x", 5).alias("trend"), F.when(F.col("x") < -30, "falling").when(F.col("x") < -15, "weak").when(F.col("x").isNull(), "unknown").otherwise("stable").alias("state"))
 
 
-@query("SELECT o_orderkey, strftime(o_orderdate, '%Y%m') AS period, CAST(date_diff('day', o_orderdate, TIMESTAMP '2002-01-01') AS BIGINT) AS age_days, o_orderdate < TIMESTAMP '2002-01-01' - INTERVAL 90 DAY AS stale FROM orders")
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y%m') AS period, CAST(floor(epoch(TIMESTAMP '2002-01-01' - o_orderdate) / 86400) AS BIGINT) AS age_days, o_orderdate < TIMESTAMP '2002-01-01' - INTERVAL 90 DAY AS stale FROM orders")
 def staleness(t):
     as_of = F.lit("2002-01-01").cast("timestamp_ntz")
-    return t.orders.select("o_orderkey", F.date_format("o_orderdate", "yyyyMM").alias("period"), F.datediff(as_of, "o_orderdate").cast("long").alias("age_days"), (F.col("o_orderdate") < as_of - F.expr("INTERVAL 90 DAYS")).alias("stale"))
+    return t.orders.select("o_orderkey", F.date_format("o_orderdate", "yyyyMM").alias("period"), F.floor((F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col("o_orderdate").cast("timestamp"))) / 86_400_000_000).alias("age_days"), (F.col("o_orderdate") < as_of - F.expr("INTERVAL 90 DAYS")).alias("stale"))

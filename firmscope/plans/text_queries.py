@@ -50,10 +50,7 @@ def trigram_similarity(t):
     return pairs(t).select("a_id", "b_id", F.round(X.trigram_similarity(F.col("a"), F.col("b")), 6).alias("trigram"))
 
 
-_digits = "translate(upper({c}), 'AEIOUYHWBFPVCGJKQSXZDTLMNR', '00000000111122222222334556')"
-
-
-def _soundex_sql(c: str) -> str:
+def soundex_sql(c: str) -> str:
     u = f"regexp_replace(upper({c}), '[^A-Z]', '', 'g')"
     code = f"translate({u}, 'AEIOUYHWBFPVCGJKQSXZDTLMNR', '00000000111122222222334556')"
     k = f"replace({code}, '0', '')"
@@ -62,7 +59,7 @@ def _soundex_sql(c: str) -> str:
     return f"CASE WHEN {u} = '' THEN '0000' ELSE rpad(substr(substr({u}, 1, 1) || CASE WHEN substr({code}, 1, 1) = '0' THEN {k} ELSE substr({k}, 2) END, 1, 4), 4, '0') END"
 
 
-@query(f"SELECT p_partkey, {_soundex_sql('p_name')} AS code FROM part UNION ALL SELECT -n_nationkey - 1, {_soundex_sql('n_name')} FROM nation")
+@query(f"SELECT p_partkey, {soundex_sql('p_name')} AS code FROM part UNION ALL SELECT -n_nationkey - 1, {soundex_sql('n_name')} FROM nation")
 def soundex_match(t):
     a = t.part.select("p_partkey", X.soundex(F.col("p_name")).alias("code"))
     return a.union(t.nation.select((-F.col("n_nationkey") - 1).cast("long"), X.soundex(F.col("n_name"))))
@@ -81,7 +78,7 @@ def screen_cascade_all(t):
     return S.cascade(*watch(t))
 
 
-@query(f"WITH {SCREEN} SELECT query_id, entity_id FROM q JOIN e ON len(list_distinct(string_split(ne, ' '))) >= 2 AND len(list_filter(list_distinct(string_split(ne, ' ')), lambda x: NOT list_contains(string_split(nq, ' '), x))) = 0")
+@query(f"WITH {SCREEN} SELECT query_id, entity_id FROM q JOIN e ON len(list_distinct(string_split(nq, ' '))) >= 2 AND len(list_filter(list_distinct(string_split(nq, ' ')), lambda x: NOT list_contains(string_split(ne, ' '), x))) = 0")
 def token_subset_screen(t):
     return S.token_subset(*watch(t))
 
@@ -133,9 +130,9 @@ def link_scoring(t):
     return s.withColumn("rank", F.row_number().over(Window.partitionBy("page_id").orderBy(F.desc("score"), "href")).cast("long"))
 
 
-@query("SELECT doc_id, i AS chunk, length(substr(text, i * 900 + 1, 900)) AS n, md5(substr(text, i * 900 + 1, 900)) AS md5 FROM (SELECT doc_id, text, unnest(range(0, least(4, CAST(ceil(length(text) / 900.0) AS BIGINT)))) AS i FROM documents)")
+@query("SELECT doc_id, i AS chunk, length(substr(text, i * 900 + 1, 900)) AS n, md5(substr(text, i * 900 + 1, 900)) AS md5 FROM (SELECT doc_id, text, unnest(range(0, CAST(ceil(length(text) / 900.0) AS BIGINT))) AS i FROM documents)")
 def chunk_text(t):
-    d = t.documents.select("doc_id", F.posexplode(X.chunks(F.col("text"), 900, 4)).alias("chunk", "c"))
+    d = t.documents.select("doc_id", F.posexplode(X.chunks(F.col("text"), 900)).alias("chunk", "c"))
     return d.select("doc_id", F.col("chunk").cast("long").alias("chunk"), F.length("c").cast("long").alias("n"), F.md5("c").alias("md5"))
 
 
@@ -179,7 +176,7 @@ def reputation_risk(t):
     return g.select("source", "reviews", F.round("n", 6).alias("negative"), F.when(F.col("n") > 0.3, "HIGH").when(F.col("n") > 0.15, "MEDIUM").otherwise("LOW").alias("risk"))
 
 
-@query(f"WITH {PAIRS}, x AS (SELECT a_id, b_id, 0.5::DOUBLE * CASE WHEN a = b THEN 100 ELSE 0 END + 0.3::DOUBLE * (1 - levenshtein(a, b) / greatest(length(a), length(b))::DOUBLE) * 90 + 0.2::DOUBLE * CASE WHEN {_soundex_sql('a')} = {_soundex_sql('b')} THEN 70 ELSE 0 END AS s FROM pr) SELECT a_id, b_id, round(s, 5) AS score, CASE WHEN s >= 95 THEN 'EXACT' WHEN s >= 80 THEN 'PARTIAL' ELSE 'PHONETIC' END AS kind FROM x")
+@query(f"WITH {PAIRS}, x AS (SELECT a_id, b_id, 0.5::DOUBLE * CASE WHEN a = b THEN 100 ELSE 0 END + 0.3::DOUBLE * (1 - levenshtein(a, b) / greatest(length(a), length(b))::DOUBLE) * 90 + 0.2::DOUBLE * CASE WHEN {soundex_sql('a')} = {soundex_sql('b')} THEN 70 ELSE 0 END AS s FROM pr) SELECT a_id, b_id, round(s, 5) AS score, CASE WHEN s >= 95 THEN 'EXACT' WHEN s >= 80 THEN 'PARTIAL' ELSE 'PHONETIC' END AS kind FROM x")
 def watchlist_spec_score(t):
     a, b = F.col("a"), F.col("b")
     s = 0.5 * F.when(a == b, 100).otherwise(0) + 0.3 * X.edit_similarity(a, b) * 90 + 0.2 * F.when(X.soundex(a) == X.soundex(b), 70).otherwise(0)

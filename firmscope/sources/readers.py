@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def parquet(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def jdbc(spark: SparkSession, url: str, table: str, column: str, low: int, high: int, parts: int = 16) -> DataFrame:
     """A table of a database, read in ranges of a numeric column."""
     return spark.read.jdbc(url, table, column, low, high, parts)
@@ -46,9 +42,11 @@ def sitemap_urls(xml: Column) -> Column:
     return F.regexp_extract_all(xml, F.lit(r"<loc>\s*([^<\s]+)\s*</loc>"), F.lit(1))
 
 
-def robots_sitemaps(text: Column, most: int = 10) -> Column:
+def robots_sitemaps(text: Column, most: int | None = None) -> Column:
+    """Addresses after "sitemap:", whole and in order; all of them, or the first `most`."""
     lines = F.filter(F.split(text, r"\r?\n"), lambda x: F.lower(F.trim(x)).startswith("sitemap:"))
-    return F.slice(F.transform(lines, lambda x: F.trim(F.substring(F.trim(x), 9, 9999))), 1, most)
+    found = F.transform(lines, lambda x: F.trim(F.substr(F.trim(x), F.lit(9))))
+    return found if most is None else F.slice(found, 1, most)
 
 
 def with_columns_or_null(df: DataFrame, columns: dict[str, str]) -> DataFrame:
