@@ -80,15 +80,18 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
 
 
-def join_by_count(rows: DataFrame, one: DataFrame, key: list[str], count: str, parts: int = 1_000) -> DataFrame:
+def join_by_count(rows: DataFrame, one: DataFrame, key: list[str], count: str, parts: int = 1_000, floor: int = 0) -> DataFrame:
     """rows joined with `one`, which has one row a key and in `count` how many of rows have that key.
 
     Keys with more than one in `parts` of all rows are fewer than `parts`, whatever the tables hold: that bound allows
-    to broadcast them, so their rows stay where they are. The others are joined by a shuffle. Both sides are read twice.
+    to broadcast them, so their rows stay where they are. The others are joined by a shuffle; both sides are then read
+    twice. Without such a key, or where none has more than `floor` rows, it is a plain join.
     """
-    total = one.agg(F.sum(count)).first()[0] or 0
-    hot = one.filter(F.col(count) * parts > total)
-    cold = one.filter(F.col(count) * parts <= total)
+    size = one.agg(F.sum(count).alias("n"), F.max(count).alias("most")).first()
+    if not size["n"] or size["most"] * parts <= size["n"] or size["most"] <= floor:
+        return rows.join(one, key)
+    common = (F.col(count) * parts > size["n"]) & (F.col(count) > floor)
+    hot, cold = one.filter(common), one.filter(~common)
     rest = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(cold, key)
     return rows.join(F.broadcast(hot), key).unionByName(rest)
 

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from firmscope.llm.common import checkpointed, join_by_count, map_texts, numbered
 
 BITS, RADIUS, BUCKET = 64, 2, 512
+#: Neighbours of a node, two numbers each, that one task may join.
+HUB = 100_000
 #: Groups of four bits, pivots that are far apart, and levels of keys.
 GROUPS, FAR, LEVELS = 16, 16, 3
 
@@ -167,9 +169,9 @@ def components(edges: DataFrame) -> DataFrame:
         state = tuple(now)
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = checkpointed(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n")))
-        e = checkpointed(join_by_count(both, least, ["u"], "n").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        e = checkpointed(join_by_count(both, least, ["u"], "n", floor=HUB).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = checkpointed(e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
-        e = join_by_count(e, least, ["u"], "n").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
+        e = join_by_count(e, least, ["u"], "n", floor=HUB).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         e = checkpointed(e.filter("u <> v").distinct())
     return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
 
