@@ -268,10 +268,11 @@ def screen_requests_all(t):
 
 @query(None)
 def event_firms(t):
-    """Events by id, else by name."""
-    q, e = people(t)
+    """Events by id, else by the most similar name of the suppliers, which take the names of customers."""
+    q, _ = people(t)
     events = q.select(F.col("query_id").alias("event_id"), F.when(F.col("query_id") % 4 == 0, F.col("query_id")).alias("firm_id"), "name")
-    return S.match_events(events, e.select(F.col("entity_id").alias("firm_id"), "name"))
+    firms = t.supplier.select(F.col("s_suppkey").alias("firm_id")).join(q.withColumnRenamed("query_id", "firm_id"), "firm_id").select("firm_id", F.concat("name", F.lit(" plc")).alias("name"))
+    return S.match_events(events, firms)
 
 
 @query(f"WITH {PEOPLE}, p AS (SELECT entity_id, q, e FROM nq JOIN ne ON query_id = entity_id) SELECT entity_id, round(0.7::DOUBLE * CASE WHEN q = e THEN 1 ELSE {_sim} END + 0.3::DOUBLE * CASE WHEN {soundex_sql('q')} = {soundex_sql('e')} THEN 0.8 ELSE 0 END, 6)::DOUBLE AS combined FROM p")
