@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmscope.llm import ann, decontaminate, langid, licenses, line_dedup, packing, simhash, token_counts, token_files, toxicity
+from firmscope.llm import ann, best_fit, centroids, decontaminate, langid, licenses, line_dedup, manifest, packing, simhash, sql, token_counts, token_files, toxicity
 from firmscope.llm.encode import vocabulary
 from firmscope.llm.toxicity import remainder
 
@@ -59,6 +59,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), end_id=2)
 
 
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack_whole(table(spark, sf_dir, "documents"), vocabulary(), end_id=0)
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster(table(spark, sf_dir, "embeddings"))).drop("n_distances")
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    tampered = F.when(remainder("doc_id", 7) == 0, more).otherwise(F.col("n_chars").cast("string"))
+    return manifest.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], claims={"n_chars": tampered})
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -66,9 +81,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    own = [op1_length_histogram, op2_toxicity, op3_simhash, op4_decontamination, op5_nearest, op6_licenses, op7_line_dedup, op8_token_files, op9_language, op10_packing, pipeline]
+    own = [op1_length_histogram, op2_toxicity, op3_simhash, op4_decontamination, op5_nearest, op6_licenses, op7_line_dedup, op8_token_files, op9_language, op10_packing, op11_best_fit, op12_centroids, op13_manifest, pipeline]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_centroids": sql.CENTROIDS, "op13_manifest": sql.MANIFEST}
