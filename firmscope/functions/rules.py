@@ -111,6 +111,12 @@ def screening_status(confidences: Column) -> Column:
     return F.when(n <= 0, "CLEAR").when(F.array_contains(confidences, "high"), "SANCTIONED").otherwise("REVIEW")
 
 
+def screening_level(confidences: Column) -> Column:
+    """As screening_status, with REVIEW_REQUIRED for a best match of medium confidence and POTENTIAL_MATCH for one of low."""
+    status = screening_status(confidences)
+    return F.when(status != "REVIEW", status).when(F.array_contains(confidences, "medium"), "REVIEW_REQUIRED").otherwise("POTENTIAL_MATCH")
+
+
 def rating_sentiment(rating: Column) -> Column:
     return band(rating, [(4.0, "positive"), (3.0, "neutral")], "negative")
 
