@@ -55,17 +55,21 @@ def edit_similarity(a: Column, b: Column) -> Column:
     return 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
 
-def token_similarity(a: Column, b: Column) -> Column:
+def tokens_met(x: Column, y: Column) -> Column:
     """Part of the tokens of the longer list that have one within an edit in the other."""
-    x, y = tokens(a), tokens(b)
     hits = F.size(F.filter(x, lambda s: F.exists(y, lambda t: F.levenshtein(s, t) <= 1)))
     return hits / F.greatest(F.size(x), F.size(y), F.lit(1))
 
 
-def similarity(a: Column, b: Column) -> Column:
-    """0.6 edit and 0.4 token similarity, 0.1 more if one contains the other, at most 1; equal strings 1."""
+def token_similarity(a: Column, b: Column) -> Column:
+    return tokens_met(tokens(a), tokens(b))
+
+
+def similarity(a: Column, b: Column, x: Column | None = None, y: Column | None = None) -> Column:
+    """0.6 edit and 0.4 token similarity, 0.1 more if one contains the other, at most 1; equal strings 1. x, y: the tokens, if they are at hand."""
+    met = token_similarity(a, b) if x is None else tokens_met(x, y)
     inside = F.when(a.contains(b) | b.contains(a), 0.1).otherwise(0.0)
-    return F.when(a == b, 1.0).otherwise(F.least(F.lit(1.0), 0.6 * edit_similarity(a, b) + 0.4 * token_similarity(a, b) + inside))
+    return F.when(a == b, 1.0).otherwise(F.least(F.lit(1.0), 0.6 * edit_similarity(a, b) + 0.4 * met + inside))
 
 
 def combined_similarity(a: Column, b: Column) -> Column:
