@@ -91,7 +91,7 @@ def test_combined(spark):
     assert got[1] == ("CLEAR", "LOW", []) and got[2] == ("SUSPENDED", "HIGH", ["FCA authorization suspended"])
     assert got[4][:2] == ("SANCTIONED", "HIGH") and got[4][2] == ["Not found in FCA registry", "Entity or related entity on OFAC/UN sanctions list", "1 sanctions match(es)"]
     assert got[5] == ("CLEAR", "LOW", ["FCA authorization revoked"]) and got[6][0] == "SANCTIONED"
-    assert got[7] == ("CLEAR", "MEDIUM", ["FCA authorization revoked", "Low FCA match confidence (65%)"])
+    assert got[7] == ("CLEAR", "MEDIUM", ["FCA authorization revoked", "Low FCA match confidence (62%)"])
 
 
 def test_blank_names_meet_nothing(spark):
