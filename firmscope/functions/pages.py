@@ -36,3 +36,27 @@ def slug_forms(slug: Column) -> Column:
     joined = F.when(slug.contains("-"), F.replace(slug, F.lit("-"), F.lit("")))
     ends = [F.concat(slug, F.lit(f"-{x}")) for x in FORMS]
     return F.when(F.coalesce(slug, F.lit("")) != "", F.array_distinct(F.array_compact(F.array(slug, shorter, bare, joined, *ends)))).otherwise(F.array().cast("array<string>"))
+
+
+def address_host(c: Column | str) -> Column:
+    """What stands between // and the path: user, host and port; blank without it."""
+    return F.regexp_extract(c, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1)
+
+
+def joined_address(base: Column, href: Column) -> Column:
+    """The address that a link on the page `base` leads to, by the published rules for relative references."""
+    part = lambda c, n: F.regexp_extract(c, r"^([A-Za-z][A-Za-z0-9+.\-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$", n)
+    scheme, host, path, query = (part(base, n) for n in (1, 2, 3, 4))
+    h_path, h_rest = part(href, 3), F.concat(part(href, 4), part(href, 5))
+    folder = F.when((host != "") & (path == ""), F.lit("/")).otherwise(F.regexp_replace(path, r"[^/]*$", ""))
+    whole = F.when(h_path.startswith("/"), h_path).otherwise(F.concat(folder, h_path))
+    inside = F.when(h_path == "", F.concat(path, F.when(part(href, 4) == "", query).otherwise(F.lit("")))).otherwise(without_dots(whole))
+    return F.when(href == "", base).when(part(href, 1) != "", href).when(part(href, 2) != "", F.concat(scheme, href)).otherwise(F.concat(scheme, host, inside, h_rest))
+
+
+def without_dots(path: Column) -> Column:
+    """A path whose . and .. segments are worked out."""
+    steps = F.split(path, "/")
+    back = lambda done: F.when(F.size(done) > 1, F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(done)
+    kept = F.aggregate(steps, F.array().cast("array<string>"), lambda done, s: F.when(s == ".", done).when(s == "..", back(done)).otherwise(F.concat(done, F.array(s))))
+    return F.concat(F.array_join(kept, "/"), F.when(F.element_at(steps, -1).isin(".", ".."), "/").otherwise(""))

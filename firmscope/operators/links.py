@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from html.parser import HTMLParser
-from urllib.parse import urljoin, urlparse
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmscope.functions import text as X
-from firmscope.functions.pages import UNWANTED
+from firmscope.functions.pages import UNWANTED, address_host, joined_address
 
 _AROUND = {"nav", "header", "footer", "li", "section", "div"}
 _EMPTY = {"br", "img", "hr", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
@@ -70,40 +69,35 @@ def _parsed(html: str | None) -> _Page:
     return p
 
 
+def page_anchors(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
+    """id, at (place in the page, from 0), href, text and around (the text of the nearest list item, section, division or the like; null without one) of every link."""
+    kind = pages.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = [(i, at, href, " ".join(own), None if around is None else " ".join(around)) for i, html in zip(b["id"], b["html"], strict=True) for at, (href, own, around) in enumerate(_parsed(html).links)]
+            yield pd.DataFrame(found, columns=["id", "at", "href", "text", "around"])
+
+    return pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).mapInPandas(run, f"id {kind}, at long, href string, text string, around string").withColumnRenamed("id", id_col)
+
+
 def keyword_links(pages: DataFrame, id_col: str, url_col: str, html_col: str, keywords: list[str], unwanted: list[str] = UNWANTED) -> DataFrame:
     """id, link, score, rank of a page's links to its own host that a keyword speaks for, each once with its best score.
 
     6 for a keyword in the address, 4 in the link's text, 2 in the text of the nearest list item, section, division or
-    the like around it. Links with an unwanted word are left out. Rank: by score, then place in the page.
+    the like around it. Links with an unwanted word, and those within the page or to a mail address or script, are left
+    out. Rank: by score, then place in the page. Ids must be unique.
     """
-    kind = pages.schema[id_col].dataType.simpleString()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        has = lambda s: any(k in s for k in keywords)
-        for b in batches:
-            out = []
-            for i, root, html in zip(b["id"], b["url"], b["html"], strict=True):
-                own = urlparse(root or "").netloc.lower()
-                for at, (href, words, around) in enumerate(_parsed(html).links):
-                    if href.startswith(("#", "mailto:", "javascript:")):
-                        continue
-                    try:
-                        url = urljoin(root or "", href)
-                        same = urlparse(url).netloc.lower() == own
-                    except ValueError:
-                        continue
-                    low = url.lower()
-                    if not same or any(x in low for x in unwanted):
-                        continue
-                    score = 6 * has(low) + 4 * has(" ".join(words).lower()) + 2 * (around is not None and has(" ".join(around).lower()))
-                    if score:
-                        out.append((i, url, score, at))
-            yield pd.DataFrame(out, columns=["id", "link", "score", "at"])
-
-    found = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInPandas(run, f"id {kind}, link string, score long, at long")
-    one = found.groupBy("id", "link").agg(F.max(F.struct("score", (-F.col("at")).alias("a"))).alias("m"))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("m.score"), F.desc("m.a")))  # the links of one page
-    return one.withColumn("rank", rank.cast("long")).select(F.col("id").alias(id_col), "link", F.col("m.score").alias("score"), "rank")
+    has = lambda c, words: F.coalesce(F.exists(F.array(*map(F.lit, words)), lambda w: F.lower(c).contains(w)), F.lit(False))
+    points = lambda c, n: F.when(has(F.col(c), keywords), n).otherwise(0)
+    base = F.coalesce("__base", F.lit(""))
+    rows = page_anchors(pages, id_col, html_col).join(pages.select(id_col, F.col(url_col).alias("__base")), id_col)
+    rows = rows.filter(~F.col("href").rlike("^(#|mailto:|javascript:)")).withColumn("link", joined_address(base, F.col("href")))
+    rows = rows.filter((F.lower(address_host("link")) == F.lower(address_host(base))) & ~has(F.col("link"), unwanted))
+    scored = rows.withColumn("score", (points("link", 6) + points("text", 4) + points("around", 2)).cast("long")).filter("score > 0")
+    one = scored.groupBy(id_col, "link").agg(F.max(F.struct("score", (-F.col("at")).alias("a"))).alias("m"))
+    rank = F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("m.score"), F.desc("m.a")))  # the links of one page
+    return one.withColumn("rank", rank.cast("long")).select(id_col, "link", F.col("m.score").alias("score"), "rank")
 
 
 def heading_blocks(pages: DataFrame, id_col: str, html_col: str, keywords: list[str]) -> DataFrame:

@@ -133,6 +133,18 @@ def test_pages(spark):
     assert [tuple(r) for r in K.heading_blocks(d, "id", "html", ["rules"]).collect()] == [(1, "Trading rules First & only")]
 
 
+def test_joined_addresses(spark):
+    from urllib.parse import urljoin
+
+    from firmscope.functions import pages as P
+
+    bases = ["https://a.com", "https://a.com/", "https://a.com/x/y?q=1#f", "http://u@b.org:8080/d/e/f.html", "https://a.com/x/"]
+    links = ["", "?p=2", "#z", "k", "k/l?m=1", "/r", "//c.net/p", "ftp://h/i", "mailto:x@y", "../up", "./here", "a/./b/../c", "../../../top", "..", ".", "k#f"]
+    d = spark.createDataFrame([(b, h) for b in bases for h in links], "b string, h string")
+    bad = [(r["b"], r["h"], r["j"]) for r in d.withColumn("j", P.joined_address(F.col("b"), F.col("h"))).collect() if r["j"] != urljoin(r["b"], r["h"])]
+    assert not bad
+
+
 def test_gate_modes(spark):
     s = spark.createDataFrame([(1, 0.5, "low"), (2, 0.1, "high"), (3, 0.4, "high"), (4, None, None)], "firm_id long, na_rate double, confidence string")
     d = spark.createDataFrame([(1, "crawl_error", None), (1, "http_error", None), (1, "rules_extracted_v0", '{"error": "x"}'), (2, "discovered_links", "[]"), (3, "rules_extracted_v0", '{"error": ""}'), (4, "other", None)], "firm_id long, key string, value_json string")
