@@ -30,15 +30,11 @@ def top_per_group(df: DataFrame, keys: list[str], k: int, *order: Column) -> Dat
 def percentile_best0(df: DataFrame, value: str, keys: list[str], out: str) -> DataFrame:
     """Percentile of each value in its group, 0 the best; ties take the larger rank, a single row 50, halves go to even.
 
-    Ranks come from counts of distinct values: rows that tie are first added up, and a group's distinct values are all
-    that its window holds.
+    Ranks come from counts of distinct values, in ranges of them, so that a large group is many tasks (running_counts).
+    Rows whose keys or value are null have no rank and are left out.
     """
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("__c"))
-    if not keys:
-        ranks = running_counts(counts.filter(F.col(value).isNotNull()), value, "__c").select(value, F.col("upto").alias("__r"), F.col("total").alias("__n"))
-    else:
-        w = Window.partitionBy(*keys)
-        ranks = counts.select(*keys, value, F.sum("__c").over(w.orderBy(value)).alias("__r"), F.sum("__c").over(w).alias("__n"))
+    counts = df.groupBy(*keys, value).agg(F.count("*").alias("__c")).filter(F.col(value).isNotNull())
+    ranks = running_counts(counts, value, "__c", keys).select(*keys, value, F.col("upto").alias("__r"), F.col("total").alias("__n"))
     p = F.when(F.col("__n") == 1, F.lit(50)).otherwise(F.bround((1 - (F.col("__r") - 1) / F.nullif(F.col("__n") - 1, F.lit(0))) * 100, 0)).cast("long")
     return df.join(ranks.withColumn(out, p).drop("__r", "__n"), [*keys, value])
 
@@ -76,19 +72,21 @@ def sample_skewness(c: str) -> Column:
     return F.when((n < 3) | (F.stddev_pop(c) == 0), 0.0).otherwise(F.skewness(c) * F.sqrt((n * (n - 1)).cast("double")) / (n - 2))
 
 
-def running_counts(counts: DataFrame, value: str, count: str, parts: int = 256) -> DataFrame:
-    """counts (distinct values and how often each occurs) with `upto`, the sum of counts up to a value, and `total`.
+def running_counts(counts: DataFrame, value: str, count: str, keys: list[str] | None = None, parts: int = 256) -> DataFrame:
+    """counts (distinct values, of each key, and how often each occurs) with `upto`, the sum of counts up to a value, and `total`.
 
     Values are parted into up to `parts` ranges of about equal size, by quantiles: sums are taken within ranges, and
-    over the ranges' totals, of which there are no more than `parts`. No task sees all values.
+    over the ranges' totals, of which a key has no more than `parts`. No task sees all values, nor all of a key.
     """
+    keys = keys or []
     cuts = sorted(set(counts.approxQuantile(value, [i / parts for i in range(1, parts)], 1 / (2 * parts))))
     part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda x: x < F.col(value))) if cuts else F.lit(0)
     ranged = counts.withColumn("__g", part)
-    totals = ranged.groupBy("__g").agg(F.sum(count).alias("__t"))
-    before = totals.select("__g", (F.sum("__t").over(Window.orderBy("__g")) - F.col("__t")).alias("__b"), F.sum("__t").over(Window.partitionBy()).alias("total"))
-    inside = F.sum(count).over(Window.partitionBy("__g").orderBy(value))
-    return ranged.withColumn("__i", inside).join(F.broadcast(before), "__g").withColumn("upto", F.col("__i") + F.col("__b")).drop("__g", "__i", "__b")
+    totals = ranged.groupBy(*keys, "__g").agg(F.sum(count).alias("__t"))
+    own = Window.partitionBy(*keys)
+    before = totals.select(*keys, "__g", (F.sum("__t").over(own.orderBy("__g")) - F.col("__t")).alias("__b"), F.sum("__t").over(own).alias("total"))
+    inside = F.sum(count).over(Window.partitionBy(*keys, "__g").orderBy(value))
+    return ranged.withColumn("__i", inside).join(before if keys else F.broadcast(before), [*keys, "__g"]).withColumn("upto", F.col("__i") + F.col("__b")).drop("__g", "__i", "__b")
 
 
 def nth_smallest(df: DataFrame, value: str, position: Column) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from firmscope.functions import extract as E
 from firmscope.functions import values as V
 from firmscope.operators import relational as R
+from firmscope.operators.tables import kept
 
 # Keys that count for completeness, the live specification with its weights, and country scores.
 COMPLETE_KEYS = ["payout_frequency", "max_drawdown_rule", "daily_drawdown_rule", "rule_changes_frequency", "jurisdiction", "jurisdiction_tier", "headquarters", "founded_year"]
@@ -326,7 +327,7 @@ def public_snapshot(scores: DataFrame, audit: DataFrame, firms: DataFrame, datap
     ).drop(*DATA_KEYS[:4], "__r", "__p")
     if overrides is not None:
         d = overridden(d, overrides, [c for c in overrides.columns if c != "firm_id"])
-    d = public_fields(d)
+    d = kept(public_fields(d))  # read by each of the percentiles
     with_score = d.filter("score is not null")
     out = R.percentile_best0(with_score, "score", [], "percentile_vs_universe")
     for by, name in (("model_type", "percentile_vs_model_type"), ("jurisdiction", "percentile_vs_jurisdiction")):

@@ -15,6 +15,7 @@ from firmscope.functions import values as V
 from firmscope.operators import relational as R
 from firmscope.operators import scoring as C
 from firmscope.operators import validation as A
+from firmscope.operators.tables import kept
 from firmscope.plans.extract_queries import choose, tier_sql, values, when_in
 from firmscope.plans.firm_queries import PCT
 from firmscope.plans.registry import Tables, query
@@ -104,9 +105,10 @@ def score_run_summary(t):
     return C.run_summary(scores(t))
 
 
-@query("SELECT 0 AS firms, 0.0::DOUBLE AS avg_score, 0.0::DOUBLE AS min_score, 0.0::DOUBLE AS max_score")
+@query(f"WITH {SCORED} SELECT count(*) AS firms, coalesce(round(avg(score), 2), 0) AS avg_score, coalesce(min(score), 0) AS min_score, coalesce(max(score), 0) AS max_score FROM scores WHERE score > 100")
 def score_run_empty(t):
-    return C.run_summary(scores(t).limit(0))
+    """A run without firms: no score is above 100."""
+    return C.run_summary(scores(t).filter("score > 100"))
 
 
 SPEC = {
@@ -205,7 +207,7 @@ _pct = lambda by: PCT.format(p=f"PARTITION BY {by}" if by else "")
 )
 def public_snapshot(t):
     key = {"snapshot_key": F.lit("s1"), "version_key": F.lit("v1")}
-    s = scores(t).withColumns(key)
+    s = kept(scores(t).withColumns(key))
     audit = C.gate(s, points(t)).withColumns(key)
     d = C.public_snapshot(s, audit, t.customer.selectExpr(*FIRM), points(t), t.customer.filter("c_custkey % 10 = 0").selectExpr(*OVER))
     keep = ["firm_id", "display_name", "payout_frequency", "daily_drawdown_rule", "rule_changes_frequency", "jurisdiction", "jurisdiction_tier", "headquarters", "data_completeness", "data_badge"]
@@ -393,12 +395,12 @@ SIGNAL = ["'f' || o_custkey AS firm_id", f"{choose('o_orderkey % 4', ['reddit',
 
 
 @query(
-    f"WITH {SCORED}, sg AS (SELECT {', '.join(SIGNAL)} FROM orders WHERE o_orderkey % 6 <> 1), asof_ AS (SELECT max(o_orderdate) AS d FROM orders), e AS (SELECT sg.*, sc.score AS s, coalesce(sentiment, 'neutral') AS m, CAST(floor(epoch(d - date) / 86400) AS INT) AS age FROM sg CROSS JOIN asof_ LEFT JOIN scores sc USING (firm_id)), k AS (SELECT firm_id, count(DISTINCT coalesce(source, '')) AS k FROM sg GROUP BY 1),"
+    f"WITH {SCORED}, sg AS (SELECT {', '.join(SIGNAL)} FROM orders), asof_ AS (SELECT max(o_orderdate) AS d FROM orders), e AS (SELECT sg.*, sc.score AS s, coalesce(sentiment, 'neutral') AS m, CAST(floor(epoch(d - date) / 86400) AS INT) AS age FROM sg CROSS JOIN asof_ LEFT JOIN scores sc USING (firm_id)), k AS (SELECT firm_id, count(DISTINCT coalesce(source, '')) AS k FROM sg GROUP BY 1),"
     f" a AS (SELECT count(*) AS total_signals, count(*) FILTER (WHERE m = 'negative') AS negative_signals, count(*) FILTER (WHERE m = 'positive') AS positive_signals, count(*) FILTER (WHERE m = 'neutral') AS neutral_signals, count(DISTINCT firm_id) AS firms_with_signals, {_share('(m = ' + chr(39) + 'negative' + chr(39) + ' AND s < 50) OR (m = ' + chr(39) + 'positive' + chr(39) + ' AND s >= 50)', 's IS NOT NULL AND m IN (' + chr(39) + 'negative' + chr(39) + ', ' + chr(39) + 'positive' + chr(39) + ')')} AS correlation_accuracy, count(*) FILTER (WHERE m = 'negative' AND age BETWEEN 1 AND 30 AND s IS NOT NULL) AS early_warnings, {_share('m = ' + chr(39) + 'negative' + chr(39) + ' AND age BETWEEN 1 AND 30 AND s < 50', 'm = ' + chr(39) + 'negative' + chr(39) + ' AND age BETWEEN 1 AND 30 AND s IS NOT NULL')} AS early_warning_accuracy, count(*) FILTER (WHERE m = 'negative' AND s >= 70) AS false_positives, {_share('m = ' + chr(39) + 'negative' + chr(39) + ' AND s >= 70', 'm = ' + chr(39) + 'negative' + chr(39) + ' AND s IS NOT NULL')} AS false_positive_rate, (SELECT round(100.0 * count(*) FILTER (WHERE k > 1) / count(*), 2)::DOUBLE FROM k) AS multi_source_validation_rate FROM e)"
     " SELECT *, correlation_accuracy > 85 AND false_positive_rate < 5 AND early_warning_accuracy > 70 AS passed FROM a"
 )
 def soft_signals(t):
-    return A.soft_signals(t.orders.filter("o_orderkey % 6 <> 1").selectExpr(*SIGNAL), scores(t), as_of(t))
+    return A.soft_signals(t.orders.selectExpr(*SIGNAL), scores(t), as_of(t))
 
 
 LOG = ["event_type AS agent", "ts", f"{choose('event_id % 25', ['failure', 'success', 'error', *['completed'] * 22])} AS status", "CASE WHEN event_id % 10 <> 0 THEN value END AS quality_score"]

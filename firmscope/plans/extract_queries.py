@@ -81,9 +81,9 @@ def company_facts(t):
 WORDS = ["on_demand", "Instant payouts", "bi-weekly", "Fortnightly", "weekly", "MONTHLY ", "daily", "on demand", "mobile", "", None, "Bi Weekly", "rarely", "very frequent", "Moderate", " lowest", "75%", " 12.5 % ", "x1", "1e3", "yearly", "annually, on demand"]
 
 
-@query(f"SELECT i AS id, {when_in('lower(w)', E.DELAYS)} AS delay_days, {when_in('replace(lower(trim(w)), ' + chr(39) + '-' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ')', E.NORMAL_FREQUENCIES)} AS frequency, {when_in('lower(trim(w))', E.CHANGE_LEVELS)} AS change_level, try_cast(replace(trim(w), '%', '') AS DOUBLE) AS number FROM {values(list(enumerate(WORDS)), 'i, w')}")
+@query(f"SELECT event_id AS id, {when_in('lower(w)', E.DELAYS)} AS delay_days, {when_in('replace(lower(trim(w)), ' + chr(39) + '-' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ')', E.NORMAL_FREQUENCIES)} AS frequency, {when_in('lower(trim(w))', E.CHANGE_LEVELS)} AS change_level, try_cast(replace(trim(w), '%', '') AS DOUBLE) AS number FROM (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(user_id AS VARCHAR) || '%' ELSE {choose(f'CAST(floor(event_id / 2) AS BIGINT) % {len(WORDS)}', WORDS)} END AS w FROM events)")
 def frequency_words(t):
-    d, w = t.spark.createDataFrame(list(enumerate(WORDS)), "id long, w string"), F.col("w")
+    d, w = t.events.select(F.col("event_id").alias("id"), F.expr(f"CASE WHEN event_id % 2 = 0 THEN CAST(user_id AS STRING) || '%' ELSE {choose(f'CAST(floor(event_id / 2) AS BIGINT) % {len(WORDS)}', WORDS)} END").alias("w")), F.col("w")
     return d.select("id", E.delay_days(w).alias("delay_days"), E.normal_frequency(w).alias("frequency"), E.change_level(w).alias("change_level"), E.numeric(w).alias("number"))
 
 
@@ -93,14 +93,14 @@ REMARK_ROWS = [(i, r, KINDS[i % len(KINDS)], n) for i, (r, n) in enumerate([(r,
 
 
 @query(
-    f"WITH v0 AS (SELECT * FROM {values(REMARK_ROWS, 'i, r, k, n')}), a AS (SELECT *, list_transform(list_concat(list_concat(regexp_extract_all(coalesce(r, ''), '(?i)a\\.k\\.a\\.\\s+\"([^\"]+)\"', 1), regexp_extract_all(coalesce(r, ''), '(?i)also known as\\s+\"([^\"]+)\"', 1)), list_concat(regexp_extract_all(coalesce(r, ''), '(?i)f\\.k\\.a\\.\\s+\"([^\"]+)\"', 1), regexp_extract_all(coalesce(r, ''), '(?i)formerly known as\\s+\"([^\"]+)\"', 1))), lambda x: trim(x)) AS al FROM v0), b AS (SELECT i, s_suppkey, r, k, n, al FROM a, supplier WHERE s_suppkey <= 20) "
-    f"SELECT i * 1000 + s_suppkey AS id, (SELECT string_agg(x, '|' ORDER BY p) FROM (SELECT x, min(p) AS p FROM (SELECT unnest(al) AS x, generate_subscripts(al, 1) AS p) GROUP BY x)) AS aliases, nullif(regexp_extract(coalesce(r, ''), '(?i)nationality\\s+([A-Z]{{2,3}})', 1), '') AS nationality, {when_in('lower(coalesce(k, ' + chr(39) * 2 + '))', [('individual', 'individual'), ('vessel', 'vessel'), ('aircraft', 'aircraft')], chr(39) + 'entity' + chr(39))} AS entity_type, coalesce(nullif(trim(concat_ws(' ', nullif(n, ''), CASE WHEN s_suppkey % 3 > 0 THEN 'S' || s_suppkey END)), ''), 'UNKNOWN') AS full_name FROM b"
+    f"WITH v0 AS (SELECT * FROM {values(REMARK_ROWS, 'i, r, k, n')}), a AS (SELECT *, list_transform(list_concat(list_concat(regexp_extract_all(coalesce(r, ''), '(?i)a\\.k\\.a\\.\\s+\"([^\"]+)\"', 1), regexp_extract_all(coalesce(r, ''), '(?i)also known as\\s+\"([^\"]+)\"', 1)), list_concat(regexp_extract_all(coalesce(r, ''), '(?i)f\\.k\\.a\\.\\s+\"([^\"]+)\"', 1), regexp_extract_all(coalesce(r, ''), '(?i)formerly known as\\s+\"([^\"]+)\"', 1))), lambda x: trim(x)) AS al FROM v0), b AS (SELECT i, s_suppkey, r, k, n, al FROM a, supplier) "
+    f"SELECT i * 1000000 + s_suppkey AS id, (SELECT string_agg(x, '|' ORDER BY p) FROM (SELECT x, min(p) AS p FROM (SELECT unnest(al) AS x, generate_subscripts(al, 1) AS p) GROUP BY x)) AS aliases, nullif(regexp_extract(coalesce(r, ''), '(?i)nationality\\s+([A-Z]{{2,3}})', 1), '') AS nationality, {when_in('lower(coalesce(k, ' + chr(39) * 2 + '))', [('individual', 'individual'), ('vessel', 'vessel'), ('aircraft', 'aircraft')], chr(39) + 'entity' + chr(39))} AS entity_type, coalesce(nullif(trim(concat_ws(' ', nullif(n, ''), CASE WHEN s_suppkey % 3 > 0 THEN 'S' || s_suppkey END)), ''), 'UNKNOWN') AS full_name FROM b"
 )
 def entity_fields(t):
-    d = t.spark.createDataFrame(REMARK_ROWS, "i long, r string, k string, n string").crossJoin(F.broadcast(t.supplier.filter("s_suppkey <= 20").select("s_suppkey")))  # a table of cases with twenty names
+    d = t.supplier.select("s_suppkey").crossJoin(F.broadcast(t.spark.createDataFrame(REMARK_ROWS, "i long, r string, k string, n string")))  # eighteen cases
     part = F.when(F.col("s_suppkey") % 3 > 0, F.concat(F.lit("S"), F.col("s_suppkey")))
     aliases = F.nullif(F.array_join(E.quoted_aliases(F.coalesce("r", F.lit(""))), "|"), F.lit(""))
-    return d.select((F.col("i") * 1000 + F.col("s_suppkey")).alias("id"), aliases.alias("aliases"), F.get(E.nationality(F.coalesce("r", F.lit(""))), 0).alias("nationality"), E.entity_type(F.coalesce("k", F.lit(""))).alias("entity_type"), E.full_name(F.col("n"), part).alias("full_name"))
+    return d.select((F.col("i") * 1_000_000 + F.col("s_suppkey")).alias("id"), aliases.alias("aliases"), F.get(E.nationality(F.coalesce("r", F.lit(""))), 0).alias("nationality"), E.entity_type(F.coalesce("k", F.lit(""))).alias("entity_type"), E.full_name(F.col("n"), part).alias("full_name"))
 
 
 TITLES = ["Firm suspended by regulator", "Licence REVOKED", "Client withdraws funds", "Settlement reached: fine of 3m", "Enforcement action opened", "Consumer warning", "Alert", "Criminal fraud ring", "Urban growth", "Proceeding closed", "inactive company", "Registered office", "Dissolved", "struck off, closed", "Open"]
