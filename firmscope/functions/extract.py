@@ -35,6 +35,9 @@ STATUS_WORDS = [(("active", "registered", "open"), "active"), (("suspended", "re
 EVENT_WORDS = [(("suspend", "suspension"), "suspension"), (("revok", "withdraw"), "revocation"), (("settlement", "fine", "penalty"), "settlement"), (("enforcement", "action", "proceeding"), "enforcement")]
 SEVERITY_WORDS = [(("revok", "ban", "suspend", "criminal", "fraud"), "critical"), (("enforcement", "penalty", "fine"), "high"), (("warning", "alert"), "medium")]
 
+NEWS_EVENTS = [(("enforcement", "penalty", "fine"), "ENFORCEMENT"), (("warning", "alert"), "WARNING"), (("filing", "sec"), "FILING")]
+NEWS_SEVERITIES = [(("fraud", "suspended", "revoked"), "CRITICAL"), (("enforcement", "violation"), "HIGH"), (("warning", "investigation"), "MEDIUM")]
+
 
 def first_word(c: Column, table: list[tuple[tuple[str, ...] | str, object]], otherwise=None) -> Column:
     """The value beside the first entry of the table of which any word lies in c."""
@@ -142,6 +145,15 @@ def severity(title: Column) -> Column:
     return first_word(F.lower(title), SEVERITY_WORDS, "low")
 
 
+def news_event(title: Column) -> Column:
+    """Kind of a news item: ENFORCEMENT, WARNING, FILING or NEWS."""
+    return first_word(F.lower(title), NEWS_EVENTS, "NEWS")
+
+
+def news_severity(title: Column, description: Column) -> Column:
+    return first_word(F.lower(F.concat_ws(" ", title, description)), NEWS_SEVERITIES, "LOW")
+
+
 def jurisdiction_tier(c: Column, skip_global: bool = True) -> Column:
     """Tier 1 to 3 from a jurisdiction's name by substrings, in order; null for blank and, with skip_global, for global ones."""
     low = F.lower(c)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 TYPOS = {"princing": "pricing", "prcing": "pricing", "pricng": "pricing", "tradding": "trading", "tradng": "trading", "challange": "challenge", "chalenge": "challenge", "withdawal": "withdrawal", "withdrawl": "withdrawal"}
 UNWANTED = ["blog", "news", "press", "affiliate", "partners", "cookie", "privacy", "login", "signup", "register", "careers", "jobs", "contact", "support-ticket"]
 SUFFIXES = ["prop", "propfirm", "funded", "trading", "capital", "markets", "group"]
+RULE_WORDS = ["rule", "rules", "faq", "terms", "conditions", "payout", "withdraw", "refund", "policy", "agreement", "legal", "trading-rules", "consistency", "drawdown"]
+FALLBACKS = ["/rules", "/trading-rules", "/rulebook", "/faq", "/faqs", "/help", "/terms", "/terms-and-conditions", "/legal", "/agreement", "/policies", "/payout", "/payouts", "/withdrawal", "/refund", "/fees"]
 FORMS = ["prop-firm", "propfirm", "prop-trading-firm"]
 
 
@@ -60,3 +62,10 @@ def without_dots(path: Column) -> Column:
     back = lambda done: F.when(F.size(done) > 1, F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(done)
     kept = F.aggregate(steps, F.array().cast("array<string>"), lambda done, s: F.when(s == ".", done).when(s == "..", back(done)).otherwise(F.concat(done, F.array(s))))
     return F.concat(F.array_join(kept, "/"), F.when(F.element_at(steps, -1).isin(".", ".."), "/").otherwise(""))
+
+
+def candidates(base: Column, paths: list[str], found: Column | None = None, most: int | None = None) -> Column:
+    """The page itself, the paths on its host, and found addresses (array), each once and in this order; `most` of them at most."""
+    own = F.array(base, *(joined_address(base, F.lit(f"/{p.lstrip('/')}")) for p in paths))
+    every = F.array_distinct(own if found is None else F.concat(own, F.coalesce(found, F.array().cast("array<string>"))))
+    return every if most is None else F.slice(every, 1, most)

@@ -96,3 +96,22 @@ def nested_text(raw: Column, skipped: tuple[str, ...] = ("_audit", "source_urls"
         return rows.map(lambda x: None if (v := _loaded(x)) is None else " ".join(_texts(v, skipped)).strip())
 
     return walk(raw)
+
+
+def audit_json(schema: T.StructType) -> Column:
+    """A row of this schema as JSON text in which decimals are texts, so that no digit is lost, and times are ISO texts; nulls stay."""
+
+    def plain(c: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, T.DecimalType):
+            return c.cast("string")
+        if isinstance(kind, T.DateType):
+            return F.date_format(c, "yyyy-MM-dd")
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return F.regexp_replace(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.000000$", "")
+        if isinstance(kind, T.StructType):
+            return F.when(c.isNotNull(), F.struct(*(plain(c[f.name], f.dataType).alias(f.name) for f in kind.fields)))
+        if isinstance(kind, T.ArrayType):
+            return F.transform(c, lambda x: plain(x, kind.elementType))
+        return c
+
+    return F.to_json(F.struct(*(plain(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields)), {"ignoreNullFields": "false"})

@@ -117,6 +117,17 @@ def screening_level(confidences: Column) -> Column:
     return F.when(status != "REVIEW", status).when(F.array_contains(confidences, "medium"), "REVIEW_REQUIRED").otherwise("POTENTIAL_MATCH")
 
 
+def screening_confidence(status: Column, scores: Column) -> Column:
+    """How sure a screening is: 0.95 if clear or without matches, 0.99 if sanctioned, else the mean score of its matches."""
+    return F.when(status == "CLEAR", 0.95).when(status == "SANCTIONED", 0.99).otherwise(F.coalesce(mean_of(scores), F.lit(0.95)))
+
+
+def mean_of(scores: Column) -> Column:
+    """Mean of an array of numbers; null for none."""
+    n = F.size(scores)
+    return F.when(n > 0, F.aggregate(scores, F.lit(0.0), lambda s, x: s + x) / n)
+
+
 def rating_sentiment(rating: Column) -> Column:
     return band(rating, [(4.0, "positive"), (3.0, "neutral")], "negative")
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmscope.functions import text as X
-from firmscope.functions.pages import UNWANTED, address_host, joined_address
+from firmscope.functions.pages import FALLBACKS, RULE_WORDS, UNWANTED, address_host, joined_address
 
 _AROUND = {"nav", "header", "footer", "li", "section", "div"}
 _EMPTY = {"br", "img", "hr", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
@@ -100,6 +100,22 @@ def keyword_links(pages: DataFrame, id_col: str, url_col: str, html_col: str, ke
     return one.withColumn("rank", rank.cast("long")).select(id_col, "link", F.col("m.score").alias("score"), "rank")
 
 
+def rule_links(pages: DataFrame, id_col: str, url_col: str, html_col: str, keywords: list[str] = RULE_WORDS, fallbacks: list[str] = FALLBACKS, most: int | None = 20) -> DataFrame:
+    """id, link, rank: a page's links with a keyword in their address, in order, then the usual paths of its host, each once.
+
+    The first `most` of them (a top-k of the feature), or all for None. Ids must be unique.
+    """
+    base = F.coalesce("__base", F.lit(""))
+    own = pages.select(id_col, F.col(url_col).alias("__base"))
+    rows = page_anchors(pages, id_col, html_col).filter(~F.col("href").rlike("^(#|mailto:|javascript:)")).join(own, id_col).withColumn("link", joined_address(base, F.col("href")))
+    spoken = rows.filter(F.exists(F.array(*map(F.lit, keywords)), lambda w: F.lower("link").contains(w))).select(id_col, "link", F.col("at"))
+    usual = own.select(id_col, F.posexplode(F.array(*(joined_address(base, F.lit(p)) for p in fallbacks))).alias("at", "link")).filter(address_host("link") != "").select(id_col, "link", (F.col("at") + (1 << 40)).alias("at"))
+    one = spoken.unionByName(usual).groupBy(id_col, "link").agg(F.min("at").alias("at"))
+    rank = F.row_number().over(Window.partitionBy(id_col).orderBy("at"))
+    out = one.withColumn("rank", rank.cast("long"))
+    return (out if most is None else out.filter(F.col("rank") <= most)).select(id_col, "link", "rank")
+
+
 def heading_blocks(pages: DataFrame, id_col: str, html_col: str, keywords: list[str]) -> DataFrame:
     """id and block: the headings that have a keyword, each with the text under it, joined by blanks; pages without one have no row."""
     kind = pages.schema[id_col].dataType.simpleString()
