@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from firmscope.plans import domain_queries, evidence_fold_queries, evidence_queries, extract_queries, firm_queries, log_queries, report_queries, search_queries, text_queries, verification_queries  # noqa: F401
+from firmscope.plans import agent_queries, domain_queries, evidence_fold_queries, evidence_queries, extract_queries, firm_queries, log_queries, report_queries, search_queries, text_queries, verification_queries  # noqa: F401
 from firmscope.plans.registry import QUERIES, SQL
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
