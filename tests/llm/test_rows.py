@@ -87,6 +87,19 @@ def test_one_of_each_group(spark):
     assert sorted(map(order, got)) == sorted(map(order, want))
 
 
+def test_names_with_dots_and_of_working_columns(spark, sf):
+    names = ["a.b", "__firmscope_key", "__firmscope_rank", "key", "rank", "rk", "root", "n", "removed_lines"]
+    rows = [(1, RUN, 1, "x"), (2, "top\n" + RUN, 2, "y"), (3, "one two three four five six", 3, "z"), (4, "one two three four five six", 4, "z"), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, `c.d` string").select("*", *(F.lit(f"kept {c}").alias(c) for c in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, sf)
+        assert out.columns == df.columns and out.schema["n_chars"] == df.schema["n_chars"]
+        kept = [r.asDict() for r in out.collect()]
+        assert len(kept) == {"simhash_near_dedup": 3}.get(name, 5) and all(r[c] == f"kept {c}" for r in kept for c in names)
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.drop_lines(spark, df, "").collect()}
+    assert got[2] == ("top", 3) and got[1] == (RUN, 1)
+
+
 def test_one_key_may_hold_most_rows(spark):
     from firmscope.llm.common import join_by_count
 
