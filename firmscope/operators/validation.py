@@ -107,7 +107,9 @@ def alerts(metrics: DataFrame, rules: list[tuple[str, str, str, float, str]] = A
 
 
 def recent_alerts(log: DataFrame, limit: int = 10) -> DataFrame:
-    return log.filter("resolved_at is null").orderBy(F.desc("created_at"), "alert_type").limit(limit)
+    """The newest open alerts, of equal times by type and then by the log's other columns, so that a cut among ties is always the same."""
+    rest = [c for c in log.columns if c not in ("created_at", "alert_type", "resolved_at")]
+    return log.filter("resolved_at is null").orderBy(F.desc("created_at"), "alert_type", *rest).limit(limit)
 
 
 # suites over one snapshot's records
