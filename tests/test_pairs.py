@@ -15,3 +15,18 @@ def test_a_cut_among_equal_alerts_takes_the_least_ids(spark):
     at = datetime(2001, 8, 1)
     log = spark.createDataFrame([(k, "1-URGENT", at, None) for k in range(400, 0, -1)], "id long, alert_type string, created_at timestamp, resolved_at timestamp").repartition(7)
     assert [r["id"] for r in A.recent_alerts(log, 10).collect()] == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", ["trigram_similarity"])
+def test_few_bytes_of_pairs_stay_many_tasks(spark, sf, name):
+    assert QUERIES[name](spark, sf).rdd.getNumPartitions() == 8
+
+
+@pytest.mark.parametrize("few", [500, 1])
+def test_pairs_are_those_of_equal_keys(spark, monkeypatch, few):
+    monkeypatch.setattr(N, "FEW_NAMES", few)
+    rows = [(i, ["red", "red ring", None, "bolt"][i % 4], i % 3 if i % 7 else None, "x") for i in range(60)]
+    d = spark.createDataFrame(rows, "id long, name string, k int, l string")
+    got = sorted(tuple(r) for r in N.scored_pairs(d, "id", "name", ["k", "l"], n=F.length("a") - F.length("b")).collect())
+    want = [(i, j, None if None in (a, b) else len(a) - len(b)) for i, a, k, _ in rows for j, b, m, _ in rows if i < j and k == m and k is not None]
+    assert got == sorted(want)
