@@ -17,7 +17,7 @@ def test_a_cut_among_equal_alerts_takes_the_least_ids(spark):
     assert [r["id"] for r in A.recent_alerts(log, 10).collect()] == list(range(1, 11))
 
 
-@pytest.mark.parametrize("name", ["trigram_similarity", "watchlist_spec_score"])
+@pytest.mark.parametrize("name", ["trigram_similarity", "watchlist_spec_score", "string_similarity"])
 def test_few_bytes_of_pairs_stay_many_tasks(spark, sf, name):
     assert QUERIES[name](spark, sf).rdd.getNumPartitions() == 8
 
