@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from firmscope.functions import rules as L
 from firmscope.operators import relational as R
+from firmscope.operators.tables import kept
 
 # Event types that speak against a firm, and the limits of alerts.
 NEGATIVE = ["regulatory_action", "license_revoked", "fraud", "payout_failure"]
@@ -137,10 +138,10 @@ def tier_coverage(records: DataFrame) -> DataFrame:
 
 def record_stability(current: DataFrame, previous: DataFrame) -> DataFrame:
     """Mean, upper median and largest change of scores (missing ones 0), firms changed by over 10, firms that left the top 10 and 20, passed."""
-    zero = lambda d, n: d.select("firm_id", F.coalesce("score", F.lit(0.0)).alias(n))
-    c, p = zero(current, "score"), zero(previous, "score")
+    zero = lambda d: kept(d.select("firm_id", F.coalesce("score", F.lit(0.0)).alias("score")))  # noqa: E731  eight steps read them
+    c, p = zero(current), zero(previous)
     change = F.abs(F.col("score") - F.col("before"))
-    both = c.join(zero(previous, "before"), "firm_id").select(change.alias("change"))
+    both = kept(c.join(p.withColumnRenamed("score", "before"), "firm_id").select(change.alias("change")))
     out = both.agg(F.round(F.avg("change"), 4).alias("avg_score_change"), F.round(F.max("change"), 4).alias("max_score_change"), many(F.col("change") > 10).alias("firms_with_major_changes"))
     median = R.nth_smallest(both, "change", F.floor(F.col("n") / 2)).select(F.round("change", 4).alias("median_score_change"))
     out = out.join(F.broadcast(median), F.lit(True), "left").crossJoin(F.broadcast(c.agg(F.count("*").alias("firms"))))
