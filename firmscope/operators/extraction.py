@@ -34,7 +34,8 @@ def texts(evidence: DataFrame, id_col: str = "evidence_id", blocks: bool = True)
         of = lambda name, words: K.heading_blocks(out.filter((F.col("__kind") == name) & (F.col("key") != "xhr_json")), id_col, "raw", words)
         out = out.join(of("rules", RULE_BLOCKS).unionByName(of("pricing", PRICING_BLOCKS)), id_col, "left")
         page = F.coalesce(F.nullif(F.trim("block"), F.lit("")), page)
-    text = F.when(F.col("key") == "xhr_json", J.json_text(F.col("raw"))).otherwise(page)
+    json = F.when(F.col("key") == "xhr_json", F.col("raw"))  # Python sees every row, but no page's text
+    text = F.when(F.col("key") == "xhr_json", J.json_text(json)).otherwise(page)
     return out.withColumn("text", text).select(*evidence.columns, "text")
 
 
