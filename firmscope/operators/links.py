@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from firmscope.functions import text as X
 from firmscope.functions.pages import FALLBACKS, RULE_WORDS, UNWANTED, address_host, joined_address
@@ -69,16 +71,29 @@ def _parsed(html: str | None) -> _Page:
     return p
 
 
-def page_anchors(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """id, at (place in the page, from 0), href, text and around (the text of the nearest list item, section, division or the like; null without one) of every link."""
-    kind = pages.schema[id_col].dataType.simpleString()
+#: Pages that a task parses at once: their rows leave Python before the next are read.
+PAGES = 64
+
+
+def _page_rows(pages: DataFrame, id_col: str, html_col: str, of: Callable[[_Page], list[tuple]], fields: str) -> DataFrame:
+    """id and the rows that `of` reads from each parsed page. Of a batch only PAGES pages at a time become Python texts."""
+    schema = T.StructType([T.StructField("id", pages.schema[id_col].dataType), *T._parse_datatype_string(fields).fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, PAGES):
+                b = whole.slice(at, PAGES)
+                found = [(i, r) for i, html in enumerate(b.column(1).to_pylist()) for r in of(_parsed(html))]
+                ids = b.column(0).take(pa.array([i for i, _ in found], pa.int64()))
+                yield pa.RecordBatch.from_arrays([ids, *(pa.array([r[k] for _, r in found], kind) for k, kind in enumerate(to_arrow_schema(schema).types[1:]))], names=schema.names)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            found = [(i, at, href, " ".join(own), None if around is None else " ".join(around)) for i, html in zip(b["id"], b["html"], strict=True) for at, (href, own, around) in enumerate(_parsed(html).links)]
-            yield pd.DataFrame(found, columns=["id", "at", "href", "text", "around"])
+    return pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
-    return pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).mapInPandas(run, f"id {kind}, at long, href string, text string, around string").withColumnRenamed("id", id_col)
+
+def page_anchors(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
+    """id, at (place in the page, from 0), href, text and around (the text of the nearest list item, section, division or the like; null without one) of every link."""
+    of = lambda p: [(at, href, " ".join(own), None if around is None else " ".join(around)) for at, (href, own, around) in enumerate(p.links)]
+    return _page_rows(pages, id_col, html_col, of, "at long, href string, text string, around string")
 
 
 def keyword_links(pages: DataFrame, id_col: str, url_col: str, html_col: str, keywords: list[str], unwanted: list[str] = UNWANTED) -> DataFrame:
@@ -118,18 +133,12 @@ def rule_links(pages: DataFrame, id_col: str, url_col: str, html_col: str, keywo
 
 def heading_blocks(pages: DataFrame, id_col: str, html_col: str, keywords: list[str]) -> DataFrame:
     """id and block: the headings that have a keyword, each with the text under it, joined by blanks; pages without one have no row."""
-    kind = pages.schema[id_col].dataType.simpleString()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for i, html in zip(b["id"], b["html"], strict=True):
-                blocks = [" ".join([*title, *under]) for title, under in _parsed(html).blocks if any(k in " ".join(title).lower() for k in keywords)]
-                if blocks:
-                    out.append((i, " ".join(blocks)))
-            yield pd.DataFrame(out, columns=["id", "block"])
-
-    return pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).mapInPandas(run, f"id {kind}, block string").withColumnRenamed("id", id_col)
+
+    def of(p: _Page) -> list[tuple[str]]:
+        blocks = [" ".join([*title, *under]) for title, under in p.blocks if any(k in " ".join(title).lower() for k in keywords)]
+        return [(" ".join(blocks),)] if blocks else []
+
+    return _page_rows(pages, id_col, html_col, of, "block string")
 
 
 def best_per_key(rows: DataFrame, key: Column, relevance: Column, place: Column) -> DataFrame:
