@@ -25,6 +25,12 @@ def test_few_bytes_of_pairs_stay_many_tasks(spark, sf, name):
     assert QUERIES[name](spark, sf).rdd.getNumPartitions() == 8
 
 
+@pytest.mark.parametrize("name", ["watchlist_spec_score"])
+def test_scores_are_looked_up_by_one_number(spark, sf, name):
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [__ab#" in plan
+
+
 @pytest.mark.parametrize("few", [500, 1])
 def test_pairs_are_those_of_equal_keys(spark, monkeypatch, few):
     monkeypatch.setattr(N, "FEW_NAMES", few)
