@@ -25,7 +25,7 @@ def test_few_bytes_of_pairs_stay_many_tasks(spark, sf, name):
     assert QUERIES[name](spark, sf).rdd.getNumPartitions() == 8
 
 
-@pytest.mark.parametrize("name", ["watchlist_spec_score"])
+@pytest.mark.parametrize("name", ["watchlist_spec_score", "string_similarity"])
 def test_scores_are_looked_up_by_one_number(spark, sf, name):
     plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [__ab#" in plan
