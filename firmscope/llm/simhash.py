@@ -41,10 +41,16 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     starts = np.r_[0, ends[:-1] + 1]
     n = len(tokens) - words + 1
     h = np.fromiter((xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts[:n].tolist(), ends[words - 1 :].tolist(), strict=True)), "<u8", n)
-    counts = np.zeros(BITS, np.int64)
-    for at in range(0, n, 4096):
-        counts += np.unpackbits(h[at : at + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.uint16)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0])
+    return int(majority(h[None, :])[0])
+
+
+def majority(h: np.ndarray) -> np.ndarray:
+    """The SimHash of each row of hashes (unsigned 64-bit), as signed integers: a bit is set if over half of the row's hashes have it."""
+    counts = np.zeros((len(h), BITS), np.int64)
+    for at in range(0, h.shape[1], 4096):
+        part = np.ascontiguousarray(h[:, at : at + 4096], "<u8")
+        counts += np.unpackbits(part.view(np.uint8).reshape(*part.shape, 8), axis=2, bitorder="little").sum(1, dtype=np.uint16)
+    return np.packbits(2 * counts > h.shape[1], axis=1, bitorder="little").view("<i8")[:, 0]
 
 
 def fingerprints(docs: DataFrame, keep: list[str], text_col: str = "text", words: int = 3) -> DataFrame:
