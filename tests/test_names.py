@@ -98,3 +98,22 @@ def test_blank_names_meet_nothing(spark):
     q = spark.createDataFrame([(1, ""), (2, None), (3, "acme")], "query_id long, name string")
     e = spark.createDataFrame([(1, " ", [""]), (2, "acme", ["", None]), (3, None, None)], "entity_id long, name string, aliases array<string>")
     assert [(r["query_id"], r["entity_id"]) for r in S.cascade(q, e).collect()] == [(3, 2)]
+
+
+def test_names_whose_tokens_must_all_be_met_ask_for_few_keys(spark, monkeypatch):
+    words = [f"acme trading ab{a}{b}e" for a in "0123456789cdf" for b in "0123456789cdf"]  # each last token has 24 partners
+    asked = []
+    dealt = N.dealt
+    monkeypatch.setattr(N, "dealt", lambda q, e, key, total: asked.append((key, q)) or dealt(q, e, key, total))
+    make = lambda x: N.Names(spark.createDataFrame([(v,) for v in x], "name string"), 0.85)
+    q, e = make(words), make(words)
+    near = N.partners(q, e)
+    asked.clear()
+    found = N.matches(q, e, near, 0.85)
+    assert found.count() == len(words) * 25
+    assert all(d.count() <= 6 * len(words) for key, d in asked)
+
+
+def test_thresholds_that_need_no_runs_keep_none(spark):
+    d = spark.createDataFrame([("acme trading abcde",)], "name string")
+    assert "runs" not in N.Names(d, 0.85).table.columns and "runs" in N.Names(d, 0.6).table.columns
